@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, quality, sharding
+from . import chat, decontaminate, quality, sharding, warc
 
-MODULES = [sharding, decontaminate, quality, chat]
+MODULES = [sharding, decontaminate, quality, chat, warc]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
