@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ._common import materialise, pick, table
 
-STAGES = 8
+STAGES = 16
 CODES = 64
 BEAM = 4
 #: Rows that the codebooks are fitted on, at most: the bounded sample, those with the smallest hashes.
@@ -31,7 +31,7 @@ SAMPLE_ROWS = 8_192
 #: Queries in one broadcast block.
 QUERY_BLOCK = 4_096
 #: Candidates of a chunk that are reranked exactly for each query.
-RERANK = 64
+RERANK = 256
 CHUNK = 4_096
 
 
@@ -56,9 +56,8 @@ def fit_codebooks(sample: np.ndarray, stages: int = STAGES, codes: int = CODES,
         book = left[rng.choice(len(left), codes, replace=len(left) < codes)].copy()
         for _ in range(rounds):
             near = (left @ book.T - 0.5 * (book * book).sum(1)).argmax(1)
-            total = np.zeros_like(book)
-            np.add.at(total, near, left)
-            n = np.bincount(near, minlength=codes)
+            member = (near == np.arange(codes)[:, None]).astype(np.float32)
+            total, n = member @ left, member.sum(1)
             book = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], left[rng.integers(0, len(left), codes)])
         near = (left @ book.T - 0.5 * (book * book).sum(1)).argmax(1)
         left = left - book[near]
