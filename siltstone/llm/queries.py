@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, nearest, packing, quality, sharding, warc
+from . import chat, decontaminate, nearest, packing, pii, quality, sharding, warc
 
-MODULES = [sharding, decontaminate, quality, chat, warc, nearest, packing]
+MODULES = [pii, warc, packing, sharding, decontaminate, nearest, quality, chat]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
