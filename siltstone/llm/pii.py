@@ -204,7 +204,7 @@ def training_candidates(n: int = TRAIN_CANDIDATES, seed: int = 11) -> tuple[np.n
         elif kind == "phone":
             s = rng.choice([f"({num(3)}) {num(3)}-{num(4)}", joined(num(9), "-", 3), f"{num(3)}.{num(3)}.{num(4)}", f"0{num(2)} {num(7)[:3]} {num(4)}"])
             if not good:
-                s = rng.choice([f"{num(2)}/{num(2)}/{num(4)}", f"{num(4)}-{num(4)}", f"{num(2)}.{num(2)}", f"{num(4)}-{num(2)}-{num(2)}", f"{num(3)} {num(2)}", joined(card(), " ", 4), s])
+                s = rng.choice([f"{num(2)}/{num(2)}/{num(4)}", f"{num(4)}-{num(4)}", f"{num(2)}.{num(2)}", f"{num(4)}-{num(2)}-{num(2)}", f"{num(3)} {num(2)}", joined(card(), " ", 4), ".".join(num(rng.randint(2, 3)) for _ in range(4)), s])
         elif kind == "card":
             s = joined(card(), rng.choice([".", "_", "  ", "/", "-", ""]), 4)
             if not good:
