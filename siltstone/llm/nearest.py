@@ -26,7 +26,7 @@ from ._common import materialise, pick, table
 STAGES = 16
 CODES = 64
 BEAM = 4
-#: Rows that the codebooks are fitted on, at most: the bounded sample, those with the smallest hashes.
+#: Rows that the codebooks are fitted on, about; twice as many at most: the bounded sample, chosen by hash.
 SAMPLE_ROWS = 8_192
 #: Queries in one broadcast block.
 QUERY_BLOCK = 4_096
@@ -101,7 +101,10 @@ def valid_vectors(df: DataFrame) -> DataFrame:
 def build_index(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, np.ndarray | None]:
     """Table (vec_id, embedding, codes, norm) of every valid row, and the codebooks."""
     rows = valid_vectors(df)
-    pandas = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(sample_rows).toPandas()
+    # Rows whose hash falls into one of `every` classes: tasks send their share of the sample only.
+    every = max(1, -(-rows.count() // sample_rows))
+    some = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(every)) == 0)
+    pandas = some.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(2 * sample_rows).toPandas()
     books = fit_codebooks(unit(np.stack(pandas["embedding"].to_numpy()).astype(np.float64))) if len(pandas) else None
 
     def run(batches):
