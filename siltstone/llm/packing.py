@@ -16,7 +16,10 @@ packed like others; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +31,7 @@ CAPACITY = 4096
 END_ID = 1
 ROUNDS = 24
 #: Entries of a worker's word cache, emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 #: Texts that are looked at together for new words, in characters.
 GROUP_CHARS = 2_000_000
 
@@ -39,42 +42,70 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _latin(category: str) -> str:
+    """Characters below U+0250 of a Unicode category, for a pattern's brackets."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == category)
+
+
+#: How the tokenizer cuts lower-cased Latin text; other texts are left to itself.
+_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_latin('L')}]+|[{_latin('N')}]|[^\s{_latin('L')}{_latin('N')}]+")
+_OTHER = re.compile(r"[^\x00-\x1b\x20-\u024f]|<\|")
+_PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+
+
+def byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on."""
+    rest = [b for b in range(256) if b not in set(_PLAIN_BYTES)]
+    return {b: 256 + k for k, b in enumerate(rest)}
+
+
+def _is_latin(text: str) -> bool:
+    """Only characters that _CUT knows, and no special token."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _OTHER.search(text)
+    return b"<|" not in raw and not any(c in raw for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))
+
+
 class WordIds:
     """Ids of texts. The tokenizer drops white space and never joins words across it, so ids of words are kept."""
 
-    SPACE = {ord(c): " " for c in "\t\n\v\f\r"}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.ids: dict[str, bytes] = {}
-        self.mark = "<|endoftext|>"
-        self.mark_id = self.tokenizer.token_to_id(self.mark)
+        self.parts: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        mapped = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+        got = self.parts[part] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        return got
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
+        if len(self.ids) + len(words) > CACHE_WORDS:
+            self.ids.clear()
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        known, part = self.parts.get, self._part
         for w in words:
-            if "<|" in w:
-                self.ids[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        for a in range(0, len(plain), 1000):
-            some = plain[a : a + 1000]
-            got = np.array(self.tokenizer.encode(f" {self.mark} ".join(some), add_special_tokens=False).ids, "<u4")
-            cut = np.nonzero(got == self.mark_id)[0]
-            for w, s, e in zip(some, [0, *(cut + 1)], [*cut, len(got)]):
-                self.ids[w] = got[s:e].tobytes()
+            if w not in self.ids:
+                self.ids[w] = b"".join([known(p) or part(p) for p in _CUT.findall(w)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [[w for w in t.translate(self.SPACE).split(" ") if w] for t in texts]
-        new = [w for w in set().union(*split) if w not in self.ids]
-        if len(self.ids) + len(new) > CACHE_WORDS:
-            self.ids = {}
-            new = list(set().union(*split))
-        self._learn(new)
+        split = [t.lower().split() if _is_latin(t) else None for t in texts]
+        words = set().union(*[ws for ws in split if ws])
+        self._learn([w for w in words if w not in self.ids] if len(self.ids) + len(words) <= CACHE_WORDS else list(words))
         get = self.ids.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        return [self._whole(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -271,7 +302,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Data
     sent = spark.sparkContext.broadcast(Lookup(plan_sequences(hist, capacity, rounds)))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     start = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("first"))
-    ranked = cut.join(start, ["part", "length"]).withColumn("rank", F.col("first") + F.col("nth")).drop("first", "nth", "part")
+    # Grows with the input: never broadcast.
+    ranked = cut.join(start.hint("merge"), ["part", "length"]).withColumn("rank", F.col("first") + F.col("nth")).drop("first", "nth", "part")
     names = [c for c in cut.columns if c not in ("part", "nth")]
     ranked = ranked.select(*names, "rank")
 
