@@ -1,0 +1 @@
+"""Types, casts and the JSON form of maps."""

@@ -1,0 +1 @@
+"""Binding of files to declared columns, statistics and samples."""

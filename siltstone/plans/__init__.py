@@ -1,0 +1 @@
+"""Predicates, pruning, order and the choice of a reader."""

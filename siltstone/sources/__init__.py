@@ -1,0 +1 @@
+"""Table options and Parquet footers."""
