@@ -29,7 +29,9 @@ from .graph import components
 WORDS = 5
 #: Cells of the sketch, in chunks; the broadcast is CELLS * 4 bytes whatever the input.
 CELLS, CHUNK = 1 << 21, 1 << 16
-LEVELS = (1, 2, 4, 8, 12, 16)
+#: Every class asks for n // 16 shared prefix tokens at least, 32 at most, and may ask for up to twice as many.
+LEAST_DIV, LEAST_MOST = 16, 32
+STEPS = (1.0, 1.25, 1.5, 2.0)
 #: Cost of verifying a candidate, in postings read.
 VERIFY_COST = 30.0
 STAR_ROUNDS = 3
@@ -83,6 +85,11 @@ def fifths(n):
     return -(-4 * n // 5)
 
 
+def least_level(n):
+    """The smallest l that a class of size n may pick; it grows with n."""
+    return np.minimum(LEAST_MOST, np.maximum(1, n // LEAST_DIV))
+
+
 def _first_pass(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, sid) and, at the end of each task, its share of the sketch in chunks."""
 
@@ -133,25 +140,20 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, noise: float) -> tuple[np.nda
     """The class's prefix, rarest tokens first, and its l."""
     n = len(tokens)
     most = fifths(n)
-    head = n - most + min(LEVELS[-1], most)
+    levels = sorted({min(most, int(least_level(n) * x)) for x in STEPS})
     # Rarest first; counts below the sketch's noise are alike, so the hash decides there.
     key = np.maximum(counts - noise, 0).astype(np.int64)
-    order = np.lexsort((tokens, key))[:head]
+    order = np.lexsort((tokens, key))[: n - most + levels[-1]]
     reads = np.cumsum(key[order] + 1.0)
-    best, level = None, 1
-    for l in LEVELS:
-        if l <= most:
-            s = reads[n - most + l - 1]
-            cost = s * (1 + VERIFY_COST / l)
-            if best is None or cost < best:
-                best, level = cost, l
+    cost = [reads[n - most + l - 1] * (1 + VERIFY_COST / l) for l in levels]
+    level = levels[int(np.argmin(cost))]
     return tokens[order[: n - most + level]], level
 
 
 def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(token, sid, n, l) for every prefix token of every class; a task repeats no class."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
-    noise = float(np.quantile(sketch, 0.999)) if sketch.any() else 0.0
+    noise = float(np.median(sketch))
 
     def run(batches):
         import pyarrow as pa
@@ -239,8 +241,11 @@ def _sizes_fit(n1, n2):
 def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """(sid, comp) of all classes that link with another one."""
     shared = materialise(_several(_postings(docs, sketch)))
+    # A class must share as many tokens as the smallest partner it could have would ask for.
     counts = shared.groupBy("sid").agg(F.count("*").alias("m"))
-    shared = materialise(shared.join(counts, "sid"))
+    smallest = F.floor((4 * F.col("n") + 4) / 5)
+    asked = F.least(F.lit(LEAST_MOST), F.greatest(F.lit(1), F.floor(smallest / LEAST_DIV)))
+    shared = materialise(shared.join(counts, "sid").where(F.col("m") >= asked))
     wanted = base.join(shared.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     sets = materialise(_sets(docs, wanted))
     links, labels = None, None
