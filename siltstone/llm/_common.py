@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 import zlib
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +14,30 @@ from pyspark.sql import functions as F
 WORD_SPACES = " \t\n\v\f\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once for each application, so they need no copy of their own."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    if package.parent.is_dir():  # else it was imported from an archive that was sent already
+        path = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(str(path))
+
+
 def pick(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """The named columns, cast, found by exact name first and by case-insensitive name next.
 
     Other columns are dropped, so extra columns never clash, not even ones that differ by case only.
     """
+    ship(df.sparkSession)
     names = df.columns
     lower = [n.lower() for n in names]
     flat = df.toDF(*[f"_c{i}" for i in range(len(names))])
@@ -41,6 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
+    ship(spark)
     path = shared_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -56,6 +78,7 @@ def crc32_of_id(value) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

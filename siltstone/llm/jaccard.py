@@ -35,7 +35,7 @@ STEPS = (1.0, 1.25, 1.5, 2.0)
 #: Cost of verifying a candidate, in postings read.
 VERIFY_COST = 30.0
 STAR_ROUNDS = 3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 

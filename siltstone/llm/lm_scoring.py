@@ -28,10 +28,10 @@ MOST_BITS, LEAST_BITS, BITS_EACH = 1 << 29, 1 << 20, 10
 PROBES = 2
 LEVELS = 40
 #: Words with exact counts in the broadcast, 12 bytes each.
-HEAD_WORDS = 2_000_000
+HEAD_WORDS = 500_000
 #: Weight of the unigrams in a bigram's probability, in counts.
 KAPPA = 20.0
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 1_000_000
 END = np.uint64(0xA5A5_5A5A_1234_9876)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -314,7 +314,7 @@ def score_documents(docs: DataFrame, model: Model, words: DataFrame, least: int)
                 held.append(h)
                 docs.append(tokens_of(t.as_py()))
                 size += len(docs[-1])
-                if size > 500_000:
+                if size > 300_000:
                     yield answer(ids, held, docs)
                     ids, held, docs, size = [], [], [], 0
             if ids:
