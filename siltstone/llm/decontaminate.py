@@ -305,7 +305,8 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, block_words: i
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    report = decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.drop("longest", "longest_start", "longest_item")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -376,4 +377,30 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
 
 
 QUERIES = {"op7_decontamination": op7_decontamination}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
+  FROM documents
+), iw AS (
+  SELECT item_id, w, least(13, len(w)) AS size FROM (
+    SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
+    FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k : k + size - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM iw)
+), sizes AS (SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT r, size, k, array_to_string(w[k : k + size - 1], ' ') AS t
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM dw, sizes WHERE len(w) >= size)
+), found AS (SELECT r, k, p.size, item_id FROM places p JOIN windows i ON p.t = i.t AND p.size = i.size
+), hits AS (SELECT r, count(DISTINCT h) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS h FROM found) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+}

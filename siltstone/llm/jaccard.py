@@ -338,4 +338,23 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_near_duplicates": op5_near_duplicates}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), tokens AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[k : k + least(5, len(w)) - 1], ' ')) AS t
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) m USING (doc_id)
+"""
+}

@@ -228,4 +228,22 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_warc": op2_warc}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, row_number() OVER () AS n FROM pages
+), q AS (
+  SELECT *, first_value(page_id) OVER w AS top, first_value(n) OVER w AS top_n, upper(sha1(h)) AS x
+  FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, n DESC)
+), d AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || x[5 * i + 1 : 5 * i + 5] AS BIGINT)) AS five,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS letters
+  FROM q
+)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(five, lambda v: letters[(v >> 15) + 1] || letters[((v >> 10) & 31) + 1] || letters[((v >> 5) & 31) + 1] || letters[(v & 31) + 1]), '') AS payload_digest,
+  CASE WHEN n = top_n THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n <> top_n THEN top END AS refers_to, true AS has_request, CAST(1 AS INTEGER) AS n_metadata
+FROM d
+"""
+}
