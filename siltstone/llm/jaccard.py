@@ -151,7 +151,7 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, noise: float) -> tuple[np.nda
 
 
 def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, sid, n, l) for every prefix token of every class; a task repeats no class."""
+    """(token, sid, n, l, pos) for every prefix token of every class; pos is its place. A task repeats no class."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
     noise = float(np.median(sketch))
 
@@ -159,11 +159,11 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
         import pyarrow as pa
 
         cells, seen = sent.value, set()
-        names = ["token", "sid", "n", "l"]
+        names = ["token", "sid", "n", "l", "pos"]
 
         def answer(out):
             cols = [np.concatenate([o[0] for o in out])] + [np.repeat([o[i] for o in out], [len(o[0]) for o in out]) for i in (1, 2, 3)]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1], pa.int64()), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32))], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1], pa.int64()), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32)), pa.array(np.concatenate([np.arange(len(o[0]), dtype=np.int32) for o in out]))], names=names)
 
         for b in batches:
             out, size = [], 0
@@ -183,7 +183,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
             if out:
                 yield answer(out)
 
-    return docs.mapInArrow(run, "token long, sid long, n int, l int")
+    return docs.mapInArrow(run, "token long, sid long, n int, l int, pos int")
 
 
 def _several(postings: DataFrame) -> DataFrame:
@@ -245,15 +245,19 @@ def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_roun
     counts = shared.groupBy("sid").agg(F.count("*").alias("m"))
     smallest = F.floor((4 * F.col("n") + 4) / 5)
     asked = F.least(F.lit(LEAST_MOST), F.greatest(F.lit(1), F.floor(smallest / LEAST_DIV)))
-    shared = materialise(shared.join(counts, "sid").where(F.col("m") >= asked))
+    shared = shared.join(counts, "sid").where(F.col("m") >= asked)
+    # Two classes that share `need` prefix tokens meet at a place with need - 1 more behind it, in both.
+    length = F.col("n") - smallest + F.col("l")
+    shared = materialise(shared.withColumn("length", length.cast("int")).withColumn("early", F.col("pos") <= length - asked))
     wanted = base.join(shared.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     sets = materialise(_sets(docs, wanted))
     links, labels = None, None
 
     def labelled() -> DataFrame:
+        early = shared.where("early")
         if labels is None:
-            return shared.withColumn("comp", F.col("sid"))
-        return shared.join(labels, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+            return early.withColumn("comp", F.col("sid"))
+        return early.join(labels, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
 
     def add(found: DataFrame) -> int:
         nonlocal links, labels
@@ -261,11 +265,12 @@ def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_roun
         n = found.count()
         if n:
             links = found if links is None else links.unionByName(found)
-            labels = components(links).select(F.col("node").alias("sid"), "comp")
+            labels = materialise(components(links).select(F.col("node").alias("sid"), "comp"))
         return n
 
     for r in range(star_rounds):
         rows = labelled()
+        rows = rows.where(F.col("pos") <= F.col("length") - _needed(F.col("n"), F.col("l"), F.col("n"), F.col("l")))
         # The first hub of a list is the class with the most shared tokens, later ones are drawn by hash.
         rank = (F.col("m") / F.col("n")) if r == 0 else F.xxhash64(F.col("sid"), F.lit(r)).cast("double")
         hub = F.max_by(F.struct("sid", "n", "l", "m", "comp"), F.struct(rank, F.col("sid"))).alias("h")
@@ -290,9 +295,14 @@ def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_roun
         & _sizes_fit(col("a", "n"), col("b", "n"))
         & (col("a", "m") >= need)
         & (col("b", "m") >= need)
+        & (col("a", "pos") <= col("a", "length") - need)
+        & (col("b", "pos") <= col("b", "length") - need)
     )
-    pairs = a.join(b, meet).select(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need"))
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("need").alias("need")).where("c >= need").select("a", "b")
+    pairs = a.join(b, meet).select(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need")).distinct()
+    # Enough shared prefix tokens, before any whole set is read.
+    tokens = shared.groupBy("sid").agg(F.collect_list("token").alias("tokens"))
+    some = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
+    pairs = some.where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b")
     add(verify(pairs, sets))
     return labels
 
