@@ -1,12 +1,12 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-N-gram counts of all training documents are summed exactly: tasks send sorted runs of (hash, count) by hash block, and
-a block is merged by one task at a time. A count c is stored as 1 + floor(log2 c) members (n-gram, 1), (n-gram, 2), ...
-of a Bloom filter whose size has a fixed upper bound; reading it back asks for one member after another until one is
-missing. The filter is broadcast, and probabilities are smoothed towards the unigrams that the same filter holds.
-
-The exact unigram score comes beside it: the most frequent words (HEAD_WORDS at most) are broadcast, counts of rarer
-ones come by a join with the vocabulary table, so no vocabulary is too large.
+N-gram counts of all training documents are summed exactly: documents are looked at a chunk at a time, tasks send the
+distinct n-grams of a chunk as sorted runs of (hash, count) by hash block, and a block is merged by one task at a time.
+A count c is stored as 1 + floor(log2 c) members (n-gram, 1), (n-gram, 2), ... of the block's Bloom filter, which has a
+fixed number of bits for each of its members, so false positives are as rare in a large corpus as in a small one; reading
+it back asks for one member after another until one is missing. No filter leaves its task: the block answers each run
+with the levels of its n-grams, and of words with their exact counts too, and the answers meet the chunk's documents
+again. Probabilities are smoothed towards the unigrams that the same filter holds. The exact unigram score comes beside.
 
 Defined results: a null or empty text is its end alone; a row without an id counts as training; repeated rows count
 and are scored each; an empty table gives an empty result; without any training row counts are zero; other columns are
@@ -23,16 +23,17 @@ from ._common import crc32_text, materialise, pick, table
 from .jaccard import mix, word_hashes
 
 ORDER = 2
-#: Bits of the filter: ten for each n-gram expected, up to this bound (64 MB).
-MOST_BITS, LEAST_BITS, BITS_EACH = 1 << 29, 1 << 20, 10
+#: Bits of a block's filter: at least so many for each member, so a probe is wrong for fewer than one in ten.
+BITS_EACH, LEAST_BITS = 20, 1 << 10
 PROBES = 2
 LEVELS = 40
-#: Words with exact counts in the broadcast, 12 bytes each.
-HEAD_WORDS = 500_000
 #: Weight of the unigrams in a bigram's probability, in counts.
 KAPPA = 20.0
-FLUSH_TOKENS = 1_000_000
+#: Text of a chunk and of a block's training documents, in bytes.
+CHUNK_BYTES, BLOCK_BYTES = 6_000_000, 8_000_000
 END = np.uint64(0xA5A5_5A5A_1234_9876)
+#: What lies before a text.
+BEFORE = np.array([END])
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -92,262 +93,218 @@ class LogFrequencyFilter:
         return out
 
     def counts(self, key: np.ndarray) -> np.ndarray:
-        """The middle of the counts that share a level."""
-        level = self.levels(key)
-        return np.where(level > 0, (1.5 * 2.0 ** np.maximum(level - 1, 0) * 2 - 1) / 2, 0.0)
+        return middle(self.levels(key))
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that share a level."""
+    level = level.astype(np.int64)
+    return np.where(level > 0, (1.5 * 2.0 ** np.maximum(level - 1, 0) * 2 - 1) / 2, 0.0)
+
+
+def block_filter(grams: list[tuple[np.ndarray, np.ndarray]], least_bits: int = LEAST_BITS) -> LogFrequencyFilter:
+    """The filter of a block's (keys, counts), as large as its members ask for."""
+    members = sum(int(np.floor(np.log2(count)).sum()) + len(count) for _, count in grams)
+    bits = least_bits
+    while bits < BITS_EACH * members:
+        bits *= 2
+    out = LogFrequencyFilter(bits, 1)
+    for key, count in grams:
+        out.add(key, count)
+    return out
+
+
+def _chunks(batches, text: int, chunk_bytes: int):
+    """Batches with the chunk of each row: rows in a row of one task that have about chunk_bytes of text together."""
+    from pyspark import TaskContext
+    import pyarrow.compute as pc
 
+    base, done = TaskContext.get().partitionId() << 32, 0
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        upto = done + np.cumsum(size)
+        done += int(size.sum())
+        yield b, base + (upto - size) // chunk_bytes
 
-def _gather(training: DataFrame, order: int, blocks: int) -> DataFrame:
-    """Sorted runs of (hash, count) by order and hash block."""
-    shift = np.uint64(64 - (blocks.bit_length() - 1)) if blocks > 1 else None
+
+def _gather(docs: DataFrame, order: int, blocks: int, chunk_bytes: int) -> DataFrame:
+    """Sorted runs of (hash, training count) by chunk, order and hash block; docs: text, held_out."""
+    shift = np.uint64(64 - (blocks.bit_length() - 1))
 
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.schema([("block", pa.int32()), ("gram", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-        held: list[np.ndarray] = []
-        size = 0
+        kind = pa.schema([("block", pa.int32()), ("chunk", pa.int64()), ("gram", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+        current, own = None, {False: [], True: []}
 
         def flush():
             for g in range(1, order + 1):
-                key, count = np.unique(np.concatenate([ngrams(t, g) for t in held]), return_counts=True)
-                if g > 1:  # one byte a count; larger ones as several entries
-                    times = -(-count // 255)
-                    first = np.concatenate([[True], np.repeat(key, times)[1:] != np.repeat(key, times)[:-1]])
-                    key = np.repeat(key, times)
-                    rest = np.full(len(key), 255)
-                    rest[first] = count - (times - 1) * 255
-                    count = rest
-                at = (key >> shift).astype(np.int64) if shift is not None else np.zeros(len(key), np.int64)
-                edge = np.searchsorted(at, np.arange(blocks + 1))
-                kind_ = np.uint8 if g > 1 else np.int32
-                rows = [
-                    {"block": b, "gram": g, "keys": key[edge[b] : edge[b + 1]].tobytes(), "counts": count[edge[b] : edge[b + 1]].astype(kind_).tobytes()}
-                    for b in range(blocks)
-                    if edge[b] < edge[b + 1]
-                ]
+                # Held-out documents, and what lies before a text, are asked for but not counted.
+                known, count = np.unique(np.concatenate([ngrams(t, g) for t in own[False]] or [np.zeros(0, np.uint64)]), return_counts=True)
+                key = np.union1d(known, np.concatenate([ngrams(t, g) for t in [*own[True], BEFORE]]))
+                every = np.zeros(len(key), np.int64)
+                every[np.searchsorted(key, known)] = count
+                edge = np.searchsorted((key >> shift).astype(np.int64), np.arange(blocks + 1)).tolist()
+                rows = []
+                for k, (lo, hi) in enumerate(zip(edge, edge[1:])):
+                    if lo < hi:
+                        part = every[lo:hi]
+                        rows.append({"block": k, "chunk": current, "gram": g, "keys": key[lo:hi].tobytes(), "counts": part.astype(_width(int(part.max()))).tobytes()})
                 yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
-        for b in batches:
-            for text in b.column(0):
-                held.append(tokens_of(text.as_py()))
-                size += len(held[-1])
-                if size >= FLUSH_TOKENS:
+        for b, chunk in _chunks(batches, 0, chunk_bytes):
+            for c, text, held in zip(chunk.tolist(), b.column(0), b.column(1).to_pylist()):
+                if c != current and current is not None:
                     yield from flush()
-                    held, size = [], 0
-        if held:
+                    own = {False: [], True: []}
+                current = c
+                own[held].append(tokens_of(text.as_py()))
+        if current is not None:
             yield from flush()
 
-    return training.mapInArrow(run, "block int, gram int, keys binary, counts binary")
+    return docs.mapInArrow(run, "block int, chunk long, gram int, keys binary, counts binary")
+
+
+def _width(most: int) -> type:
+    return np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int64
 
 
-def _merge(runs: DataFrame, bits: int, blocks: int) -> DataFrame:
-    """Rows of each block: words with counts (gram 1) and the block's part of the filter (gram 0)."""
+def _merge(runs: DataFrame, least_bits: int) -> DataFrame:
+    """The answer to each run: levels of its n-grams and counts of its words; and a row of totals (gram 0) for each block."""
 
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.schema([("block", pa.int32()), ("gram", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
+        kind = pa.schema([("block", pa.int32()), ("chunk", pa.int64()), ("gram", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
         current, own = None, {}
 
         def close():
-            one = LogFrequencyFilter(bits // blocks, 1)
-            rows = []
+            merged = {}
             for g, parts in own.items():
-                key = np.concatenate([p[0] for p in parts])
-                count = np.concatenate([p[1] for p in parts]).astype(np.int64)
+                key = np.concatenate([p[1] for p in parts])
                 order = np.argsort(key, kind="stable")
-                key, count = key[order], count[order]
-                edge = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
-                key, count = key[edge], np.add.reduceat(count, edge)
-                one.add(key, count)
+                key, count = key[order], np.concatenate([p[2] for p in parts])[order]
+                first = np.concatenate([[True], key[1:] != key[:-1]])
+                edge = np.nonzero(first)[0]
+                place = np.empty(len(key), np.int64)
+                place[order] = np.cumsum(first) - 1
+                merged[g] = key[edge], np.add.reduceat(count, edge), place
+            filter_ = block_filter([(key[count > 0], count[count > 0]) for key, count, _ in merged.values()], least_bits)
+            for g, parts in own.items():
+                key, count, place = merged[g]
+                level, at, rows = filter_.levels(key).astype(np.uint8), 0, []
+                for chunk, keys, _ in parts:
+                    some = place[at : at + len(keys)]
+                    at += len(keys)
+                    rows.append({"block": current, "chunk": chunk, "gram": g, "levels": level[some].tobytes(), "counts": count[some].tobytes() if g == 1 else None})
                 if g == 1:
-                    rows.append({"block": current, "gram": 1, "keys": key.tobytes(), "counts": count.tobytes(), "tokens": int(count.sum()), "distinct": len(key)})
-            rows.append({"block": current, "gram": 0, "keys": one.words.tobytes()})
-            return pa.RecordBatch.from_pylist(rows, schema=kind)
+                    rows.append({"block": current, "gram": 0, "tokens": int(count.sum()), "distinct": int((count > 0).sum())})
+                yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
         for b in batches:
-            for k, g, keys, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+            for k, chunk, g, keys, counts in zip(*[b.column(i).to_pylist() for i in range(3)], b.column(3), b.column(4)):
                 if k != current and own:
-                    yield close()
+                    yield from close()
                     own = {}
                 current = k
-                own.setdefault(g, []).append((np.frombuffer(keys.as_py(), np.uint64), np.frombuffer(counts.as_py(), np.int32 if g == 1 else np.uint8)))
+                key, count = np.frombuffer(keys.as_py(), np.uint64), counts.as_py()
+                kind_ = {1: np.uint8, 2: np.uint16, 8: np.int64}[len(count) // len(key)]
+                own.setdefault(g, []).append((chunk, key, np.frombuffer(count, kind_).astype(np.int64)))
         if own:
-            yield close()
+            yield from close()
 
-    parts = min(blocks, max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
+    parts = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     sorted_runs = runs.repartition(parts, "block").sortWithinPartitions("block")
-    return sorted_runs.mapInArrow(run, "block int, gram int, keys binary, counts binary, tokens long, distinct long")
+    return sorted_runs.mapInArrow(run, "block int, chunk long, gram int, levels binary, counts binary, tokens long, distinct long")
 
 
 class Model:
-    """What scoring needs on a worker."""
-
-    def __init__(self, filter_: LogFrequencyFilter, head: np.ndarray, count: np.ndarray, tokens: int, distinct: int, order: int):
-        self.filter, self.head, self.count, self.tokens, self.distinct, self.order = filter_, head, count, tokens, distinct, order
-
-    def log_base(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 1) / (self.tokens + self.distinct + 1))
-
-    def answer(self, docs: list[np.ndarray]):
-        """Per document: n_tokens, words in the head, their base score, model score, hashes of the other words."""
-        size = np.array([len(d) for d in docs])
-        start = np.cumsum(size) - size
-        token = np.concatenate(docs)
-        uniq, inv = np.unique(token, return_inverse=True)
-        at = np.searchsorted(self.head, uniq)
-        at[at == len(self.head)] = 0
-        known = (self.head[at] == uniq) if len(self.head) else np.zeros(len(uniq), bool)
-        exact = np.where(known, self.count[at] if len(self.head) else 0, 0)
-        seen = known[inv]
-        base = np.add.reduceat(np.where(seen, self.log_base(exact)[inv], 0.0), start)
-        rough = self.filter.counts(uniq)
-        p = ((rough + 1) / (self.tokens + self.distinct + 1))[inv]
-        first = np.zeros(len(token), bool)
-        first[start] = True
-        for g in range(2, self.order + 1):
-            gram = np.concatenate([ngrams(d, g) for d in docs])
-            if g == 2:
-                context = np.where(first, self.filter.counts(np.array([END]))[0], np.concatenate([[0.0], rough[inv][:-1]]))
-            else:
-                before = np.concatenate([ngrams(np.concatenate([[END], d[:-1]]), g - 1) for d in docs])
-                context = self.filter.counts(before)
-            p = (np.minimum(self.filter.counts(gram), np.maximum(context, 1)) + KAPPA * p) / (np.maximum(context, 1) + KAPPA)
-        score = np.add.reduceat(np.log10(np.minimum(p, 1.0)), start)
-        n_head = np.add.reduceat(seen.astype(np.int64), start)
-        rest = [t[~s].view(np.int64) for t, s in zip(np.split(token, start[1:]), np.split(seen, start[1:]))]
-        return size, n_head, base, score, rest
-
-
-def train(training: DataFrame, order: int = ORDER, most_bits: int = MOST_BITS, head_words: int = HEAD_WORDS) -> tuple[Model, DataFrame, int]:
-    """The model from all rows of training (text), the vocabulary table, and the least count of a head word."""
-    parts = training.rdd.getNumPartitions()
+    """The answers to the chunks of documents, how they were cut, and the totals."""
+
+    def __init__(self, answers: DataFrame, tokens: int, distinct: int, order: int, chunk_bytes: int):
+        self.answers, self.tokens, self.distinct, self.order, self.chunk_bytes = answers, tokens, distinct, order, chunk_bytes
+
+
+def score_chunk(docs: list[np.ndarray], levels: dict[int, np.ndarray], exact: np.ndarray, tokens: int, distinct: int, order: int):
+    """Per document of a chunk: n_tokens, known words, base score, model score; levels and counts by sorted distinct n-gram."""
+    size = np.array([len(d) for d in docs])
+    start = np.cumsum(size) - size
+    first = np.zeros(int(size.sum()), bool)
+    first[start] = True
+    for g in range(1, order + 1):
+        key, inv = np.unique(np.concatenate([ngrams(d, g) for d in [*docs, BEFORE]]), return_inverse=True)
+        if len(key) != len(levels.get(g, ())) or (g == 1 and len(key) != len(exact)):
+            raise RuntimeError("the documents changed while they were scored")
+        found = middle(levels[g])[inv]
+        count, before = found[:-1], found[-1]
+        if g == 1:
+            own = exact[inv[:-1]]
+            base = np.add.reduceat(np.log10((own + 1) / (tokens + distinct + 1)), start)
+            known = np.add.reduceat((own > 0).astype(np.int64), start)
+            p = (count + 1) / (tokens + distinct + 1)
+        else:
+            p = (np.minimum(count, np.maximum(context, 1)) + KAPPA * p) / (np.maximum(context, 1) + KAPPA)
+        context = np.where(first, before, np.concatenate([[0.0], count[:-1]]))
+    return size, known, base, np.add.reduceat(np.log10(np.minimum(p, 1.0)), start)
+
+
+def train(docs: DataFrame, order: int = ORDER, least_bits: int = LEAST_BITS, chunk_bytes: int = CHUNK_BYTES) -> Model:
+    """What the rows of docs (text, held_out) that are not held out say about the n-grams of all rows; docs must be stable."""
+    parts = docs.rdd.getNumPartitions()
+    length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 64
-    while blocks < parts and blocks < 65536:
+    while blocks < 65536 and (blocks < parts or blocks * BLOCK_BYTES < length):
         blocks *= 2
-    length = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = LEAST_BITS
-    while bits < most_bits and bits < length / 6 * BITS_EACH * (order - 0.5):
-        bits *= 2
-    blocks = min(blocks, bits // 1024)
-    merged = materialise(_merge(_gather(training, order, blocks), bits, blocks))
-    words = merged.where("gram = 1")
-    total = words.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
-    tokens, distinct = total.n or 0, total.v or 0
-    cap = 4096
-
-    def histogram(batches):
-        import pyarrow as pa
+    merged = materialise(_merge(_gather(docs.select("text", "held_out"), order, blocks, chunk_bytes), least_bits))
+    total = merged.where("gram = 0").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
+    answers = merged.where("gram > 0").select("chunk", "gram", "block", "levels", "counts")
+    return Model(answers, total.n or 0, total.v or 0, order, chunk_bytes)
 
-        for b in batches:
-            for c in b.column(0):
-                v, n = np.unique(np.minimum(np.frombuffer(c.as_py(), np.int64), cap), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(n)], names=["c", "n"])
-
-    hist = sorted(words.select("counts").mapInArrow(histogram, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).collect(), reverse=True)
-    least, have = cap + 1, 0
-    for r in hist:
-        if have + r.n > head_words:
-            break
-        have, least = have + r.n, r.c
-    least = 1 if distinct <= head_words else least
-
-    def heads(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            for k, c in zip(b.column(0), b.column(1)):
-                key, count = np.frombuffer(k.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64)
-                keep = count >= least
-                yield pa.RecordBatch.from_pydict({"keys": pa.array([key[keep].tobytes()], pa.binary()), "counts": pa.array([count[keep].tobytes()], pa.binary())})
 
-    got = list(words.select("keys", "counts").mapInArrow(heads, "keys binary, counts binary").toLocalIterator()) if have or least == 1 else []
-    head = np.concatenate([np.frombuffer(bytes(r["keys"]), np.uint64) for r in got]) if got else np.zeros(0, np.uint64)
-    count = np.concatenate([np.frombuffer(bytes(r["counts"]), np.int64) for r in got]) if got else np.zeros(0, np.int64)
-    by = np.argsort(head)
-    filter_ = LogFrequencyFilter(bits, blocks)
-    each = filter_.block_bits // 8
-    for r in merged.where("gram = 0").select("block", "keys").toLocalIterator():
-        filter_.words[r.block * each : (r.block + 1) * each] = np.frombuffer(bytes(r["keys"]), np.uint8)
-    return Model(filter_, head[by], count[by], tokens, distinct, order), words, least
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """docs (doc_id, text, held_out), as the model was trained on, with the exact base score and the model's score."""
+    tokens, distinct, order, chunk_bytes = model.tokens, model.distinct, model.order, model.chunk_bytes
 
-
-def _rare_words(words: DataFrame, least: int) -> DataFrame:
-    """(word, c) of the vocabulary below the head."""
-
-    def run(batches):
+    def number(batches):
         import pyarrow as pa
 
-        for b in batches:
-            for k, c in zip(b.column(0), b.column(1)):
-                key, count = np.frombuffer(k.as_py(), np.int64), np.frombuffer(c.as_py(), np.int64)
-                keep = count < least
-                yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(count[keep])], names=["word", "c"])
+        for b, chunk in _chunks(batches, 1, chunk_bytes):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(chunk, pa.int64())], names=[*b.schema.names, "chunk"])
 
-    return words.select("keys", "counts").mapInArrow(run, "word long, c long")
-
-
-def score_documents(docs: DataFrame, model: Model, words: DataFrame, least: int) -> DataFrame:
-    """docs (doc_id, text, held_out) with the exact base score and the model's score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        from pyspark import TaskContext
+    def score(own, answers):
         import pyarrow as pa
 
-        own = sent.value
-        row = TaskContext.get().partitionId() << 40
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_head", "base", "score", "rest"]
-
-        def answer(ids, held, docs):
-            nonlocal row
-            size, n_head, base, score, rest = own.answer(docs)
-            rows = np.arange(row, row + len(ids))
-            row += len(ids)
-            return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(size), pa.array(n_head), pa.array(base), pa.array(score), pa.array(rest, pa.list_(pa.int64()))], names=names)
-
-        for b in batches:
-            ids, held, docs, size = [], [], [], 0
-            for i, h, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1)):
-                ids.append(i)
-                held.append(h)
-                docs.append(tokens_of(t.as_py()))
-                size += len(docs[-1])
-                if size > 300_000:
-                    yield answer(ids, held, docs)
-                    ids, held, docs, size = [], [], [], 0
-            if ids:
-                yield answer(ids, held, docs)
-
-    kind = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, score double, rest array<long>"
-    scored = materialise(docs.select("doc_id", "text", "held_out").mapInArrow(run, kind))
-    # Words outside the head: their counts come from the vocabulary table, word by word.
-    rest = scored.select("row", F.explode("rest").alias("word")).groupBy("row", "word").agg(F.count("*").alias("k"))
-    found = rest.join(_rare_words(words, least), "word", "left") if least > 1 else rest.withColumn("c", F.lit(None).cast("long"))
-    log = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.tokens + model.distinct + 1)))
-    sums = found.groupBy("row").agg(F.sum(F.col("k") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("n_more"))
-    out = scored.drop("rest").join(sums, "row", "left")
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_head") + F.coalesce("n_more", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
-
-
-def lm_scores(docs: DataFrame, mod: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
+        answers = answers.sort_by("block")
+        joined = {g: [] for g in range(1, order + 1)}
+        exact = []
+        for g, level, count in zip(answers["gram"].to_pylist(), answers["levels"], answers["counts"]):
+            joined[g].append(np.frombuffer(level.as_py(), np.uint8))
+            if g == 1:
+                exact.append(np.frombuffer(count.as_py(), np.int64))
+        levels = {g: np.concatenate(x) for g, x in joined.items() if x}
+        docs = [tokens_of(t.as_py()) for t in own["text"]]
+        size, known, base, total = score_chunk(docs, levels, np.concatenate(exact or [np.zeros(0)]), tokens, distinct, order)
+        cols = [own["doc_id"], own["held_out"], pa.array(size), pa.array(known), pa.array(np.full(len(size), tokens)), pa.array(base), pa.array(total)]
+        return pa.Table.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    numbered = docs.select("doc_id", "text", "held_out").mapInArrow(number, "doc_id long, text string, held_out boolean, chunk long")
+    both = [x.repartition(parts, "chunk").groupBy("chunk") for x in (numbered, model.answers)]
+    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return both[0].cogroup(both[1]).applyInArrow(score, kind)
+
+
+def lm_scores(docs: DataFrame, mod: int = 7, held: int = 2, order: int = ORDER, stable: bool = False) -> DataFrame:
+    """stable: docs has the same rows in the same partitions whenever it is computed, as a plain Parquet scan does."""
     docs = pick(docs, {"doc_id": "long", "text": "string"})
+    if not stable:
+        docs = materialise(docs)
     docs = docs.withColumn("held_out", F.coalesce(crc32_text(F.col("doc_id")) % mod == held, F.lit(False)))
-    model, words, least = train(docs.where(~F.col("held_out")).select("text"), order)
-    return score_documents(docs, model, words, least)
+    return score_documents(docs, train(docs, order))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+    return lm_scores(table(spark, sf_dir, "documents"), stable=True)
 
 
 QUERIES = {"op6_lm_scoring": op6_lm_scoring}

@@ -323,6 +323,41 @@ def test_log_frequency_filter():
     assert (f.levels(rng.integers(0, 2**63, 4000, dtype=np.int64).astype(np.uint64)) == 0).mean() > 0.97
 
 
+@pytest.mark.parametrize("members", [3_000, 300_000])
+def test_filter_grows_with_its_members(members):
+    # Counts of a block that is 100 times as large are read back as well.
+    keys = np.random.default_rng(2).integers(0, 2**63, 2 * members, dtype=np.int64).astype(np.uint64)
+    counts = np.random.default_rng(3).integers(1, 9, members)
+    f = lm_scoring.block_filter([(keys[:members], counts)])
+    level = np.floor(np.log2(counts)).astype(int) + 1
+    assert (f.levels(keys[:members]) >= level).all() and (f.levels(keys[:members]) == level).mean() > 0.98
+    assert (f.levels(keys[members:]) == 0).mean() > 0.98
+
+
+@pytest.mark.parametrize("chunk", [3, 6_000_000])
+def test_lm_counts_of_a_large_corpus(spark, monkeypatch, chunk):
+    # A filter of a fixed size, as small as LEAST_BITS is here, would take every bigram for a frequent one.
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 2000, 1500)) for _ in range(40)]
+    monkeypatch.setattr(lm_scoring.train, "__defaults__", (2, 1 << 10, chunk))
+    rows = lm_scoring.lm_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    words = [[*t.split(), None] for t in texts]
+    one, two = Counter(), Counter()
+    for r, ws in zip(sorted(rows), words):
+        if not r.held_out:
+            one.update(ws)
+            two.update(zip([None, *ws], ws))
+    rough = lambda c: lm_scoring.middle(np.array([c.bit_length()]))[0]
+    total = sum(one.values()) + len(one) + 1
+    assert len(rows) == 40 and {r.held_out for r in rows} == {False, True}
+    for r, ws in zip(sorted(rows), words):
+        want = 0.0
+        for a, b in zip([None, *ws], ws):
+            c = max(rough(one[a]), 1)
+            want += math.log10((min(rough(two[a, b]), c) + 20 * (rough(one[b]) + 1) / total) / (c + 20))
+        assert abs(r.score - want) < 0.01 * abs(want)
+
+
 # -- decontamination -------------------------------------------------------------------------------------------------------
 ITEMS = [
     (11, "The quick brown fox jumps over the lazy dog and runs far away today yes indeed"), (12, "one"), (13, None), (14, "..."), (2, "lazy dog"),
