@@ -3,7 +3,8 @@
 A configuration says how many pieces of each length share a sequence. Multiplicative weights look for a fractional
 cover of the histogram with few sequences: weights of lengths that are covered too little grow, and a knapsack dynamic
 program prices, for every length, the best configuration that holds it. The averaged solution is rounded down to whole
-multiplicities and what is left goes best-fit decreasing into sequences, length class by length class.
+multiplicities, once with completely filled configurations only and once with all of them, what is left goes best-fit
+decreasing into sequences, length class by length class, and the plan with fewer sequences counts.
 
 The driver sees the histogram only (capacity entries at most), whatever the number of pieces. Pieces learn their rank
 among those of their length from counts of (input partition, length), so no length class meets in one task, and look up
@@ -222,19 +223,27 @@ def plan_sequences(hist: dict[int, int], capacity: int = CAPACITY, rounds: int =
         sizes = np.array(sorted(left), np.int64)
         rest = np.array([left[int(s)] for s in sizes], np.int64)
         cover = fractional_cover(sizes, rest, capacity, rounds)
-        full = lambda c: int(sizes[list(c)].sum())
-        for config, x in sorted(cover.items(), key=lambda cx: (-full(cx[0]), -cx[1], cx[0])):
-            if full(config) < capacity or x < 1:
-                continue  # rounded down to none; what waste a part-filled one has, best fit may avoid
-            index, copies = np.unique(np.array(config), return_counts=True)
-            times = int(min(int(x), (rest[index] // copies).min()))
-            if times:
-                rest[index] -= times * copies
-                out.append(([(int(sizes[i]), int(k)) for i, k in zip(index, copies)], times))
-        out += _best_fit(list(zip(sizes.tolist(), rest.tolist())), capacity)
+        # Part-filled configurations may waste what best fit avoids, or be the only good ones: the shorter plan counts.
+        plans = [_rounded(cover, sizes, rest, capacity, least) for least in (capacity, 0)]
+        out += min(plans, key=lambda plan: sum(times for _, times in plan))
     return out
 
 
+def _rounded(cover: dict[tuple[int, ...], float], sizes: np.ndarray, demand: np.ndarray, capacity: int, least: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """The cover's configurations of at least that length, rounded down, and best fit for the rest."""
+    rest, out = demand.copy(), []
+    full = lambda c: int(sizes[list(c)].sum())
+    for config, x in sorted(cover.items(), key=lambda cx: (-full(cx[0]), -cx[1], cx[0])):
+        if full(config) < least or x < 1:
+            continue
+        index, copies = np.unique(np.array(config), return_counts=True)
+        times = int(min(int(x), (rest[index] // copies).min()))
+        if times:
+            rest[index] -= times * copies
+            out.append(([(int(sizes[i]), int(k)) for i, k in zip(index, copies)], times))
+    return out + _best_fit(list(zip(sizes.tolist(), rest.tolist())), capacity)
+
+
 def _best_fit(rest: list[tuple[int, int]], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
     """Best-fit decreasing for counts of lengths; equal open sequences are handled together."""
     room: list[list[tuple[list[tuple[int, int]], int]]] = [[] for _ in range(capacity + 1)]

@@ -195,6 +195,17 @@ def test_packing_exact_fit_needs_the_program():
     assert sum(t for _, t in packing.plan_sequences(hist)) == 400
 
 
+def test_packing_uses_part_filled_configurations():
+    # No combination of these lengths is 4096: 600 of 2057 + 1034 + 1004 and 300 of 1043 + 1043 + 1004 + 1004 are best.
+    hist = {2057: 600, 1043: 600, 1034: 600, 1004: 1200}
+    plan = packing.plan_sequences(hist)
+    assert sum(t for _, t in plan) == 900
+    back = Counter()
+    for config, times in plan:
+        back.update({n: k * times for n, k in config})
+    assert back == hist
+
+
 def test_word_ids_are_the_tokenizers(spark):
     own = packing.WordIds(packing.default_tokenizer())
     for t in ["It's İstanbul ΣΑΣ <|endoftext|> x", "a\x1cb c\x85d\xa0e ½ x² 'safe don't'S", "日本語 é é ﬁ", "", " ", "naïve_co-op 12a3…", "\x00a\x7f b\xad"]:
