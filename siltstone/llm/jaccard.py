@@ -330,21 +330,27 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id. Rows of one id are one document: one row stays."""
-    found = materialise(near_duplicates(docs))
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = filter_documents(docs, ids, "doc_id", "left_semi")
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        names = kept.columns
-        at = names.index("doc_id") if "doc_id" in names else [n.lower() for n in names].index("doc_id")
-        flat = kept.toDF(*[f"_c{i}" for i in range(len(names))])
-        kept = flat.where(f"_c{at} is null").unionByName(flat.where(f"_c{at} is not null").dropDuplicates([f"_c{at}"])).toDF(*names)
-    return kept
+def keep_one(docs: DataFrame, stable: bool = False) -> DataFrame:
+    """One row of each component, one with the smallest id (without one only if no row has an id); rows without words stay.
+
+    Rows are told apart by their number, not by their id. stable: docs has the same rows in the same partitions whenever
+    it is computed, as a plain Parquet scan does; otherwise it is written first.
+    """
+    names = docs.columns
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    if not stable:
+        flat = materialise(flat)
+    numbered = pick(flat.toDF(*names), {"doc_id": "long", "text": "string"}).withColumn("_row", F.monotonically_increasing_id())
+    found = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    ids = numbered.select("_row", F.col("doc_id").alias("_id"))
+    member = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
+    least = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("least")
+    rows = member.groupBy("component_id").agg(least).select(F.col("least._row").alias("_row"))
+    return flat.withColumn("_row", F.monotonically_increasing_id()).join(rows, "_row", "left_semi").drop("_row").toDF(*names)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one(docs)
+    return keep_one(docs, stable=True)
 
 
 QUERIES = {"op5_near_duplicates": op5_near_duplicates}

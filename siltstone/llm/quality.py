@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import crc32_text, filter_documents, materialise, pick, table
+from ._common import crc32_text, materialise, pick, table
 
 #: Random features; a partition sums FEATURES x FEATURES doubles.
 FEATURES = 192
@@ -188,19 +188,23 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", held_out_mo
     return weights, centre, value
 
 
+def scores(stats: np.ndarray, model) -> np.ndarray:
+    """Scores in 0 to 1; a slight slope keeps ties of the isotonic steps in the order of the raw scores."""
+    if model is None:
+        return np.full(len(stats), 0.5)
+    weights, centre, value = model
+    raw = fourier(stats) @ weights if len(stats) else np.zeros(0)
+    return np.interp(raw, centre, value) * 0.999 + 0.001 * np.clip((raw + 0.5) / 2, 0, 1)
+
+
 def score(stats: DataFrame, model) -> DataFrame:
-    """doc_id, score in 0 to 1; a slight slope keeps ties of the isotonic steps in the order of the raw scores."""
+    """doc_id, score."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            if model is None:
-                s = np.full(b.num_rows, 0.5)
-            else:
-                weights, centre, value = model
-                raw = fourier(_matrix(b.column(1))) @ weights if b.num_rows else np.zeros(0)
-                s = np.interp(raw, centre, value) * 0.999 + 0.001 * np.clip((raw + 0.5) / 2, 0, 1)
+            s = scores(_matrix(b.column(1)), model)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
     return stats.mapInArrow(run, "doc_id long, score double")
@@ -214,14 +218,30 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows whose text scores at least threshold; columns and their names stay as they are."""
+    model = fit(materialise(document_statistics(docs)), labels)
+    names = docs.columns
+    at = names.index("text") if "text" in names else [n.lower() for n in names].index("text")
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            s = scores(np.array([statistics(t.as_py()) for t in b.column(at)]).reshape(-1, STATS), model)
+            yield b.filter(pa.array(s >= threshold, pa.bool_()))
+
+    return flat.mapInArrow(run, flat.schema).toDF(*names)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; documents with the same id share one decision, the strictest."""
-    scored = quality_scores(docs, table(spark, sf_dir, "labels"))
-    return filter_documents(docs, scored.where("predicted = 0").distinct(), "doc_id", "left_anti")
+    """Documents that the classifier accepts; each row is judged by its own text."""
+    return keep_accepted(docs, table(spark, sf_dir, "labels"))
 
 
 QUERIES = {"op9_quality": op9_quality}

@@ -296,6 +296,12 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == plain_components(rows)
 
 
+def test_keep_one_tells_rows_apart(spark):
+    rows = [(None, "a row without an id"), (None, "another row without one"), (None, "a row without an id"), (1, "one text of id one"), (1, "quite a different text of it"), (2, "one text of id one"), (None, None), (None, "")]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter(map(tuple, kept.collect())) == Counter([*rows[:2], *rows[3:5], *rows[6:]])
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 102), (7, 7), (200, 150)]
     got = {r.node: r.comp for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -465,6 +471,16 @@ def test_quality_edges(docs, none, spark):
     assert quality.quality_scores(none, labels).count() == 0
 
 
+def test_quality_judges_rows(spark):
+    good, bad = "This is a fine sentence of plain words, and it ends well. " * 4, "!! BUY | NOW | " * 20
+    rows = [(i, f"{good if i % 2 else bad}{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    more = [(None, good), (None, bad), (1, bad), (2, good)]
+    docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+    want = Counter(r for r in rows + more if r[1].startswith("This"))
+    assert Counter(map(tuple, quality.keep_accepted(docs, labels).collect())) == want
+
+
 def test_isotonic():
     assert quality.pool(np.array([1.0, 0.0, 2.0, 3.0]), np.array([1.0, 1.0, 1.0, 1.0])).tolist() == [0.5, 0.5, 2.0, 3.0]
 
