@@ -250,14 +250,18 @@ def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
     yield Tests(block)
 
 
-def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, runs of hit words, items that occur, the longest verbatim match."""
+def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, rows: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_words, runs of hit words, items that occur, the longest verbatim match.
+
+    With rows also _row, the document's monotonically_increasing_id() in docs.
+    """
     flat = pick(docs, {"doc_id": "long", "text": "string"})
     blocks = blocks_of(benchmark, block_words)
     one = next(blocks)
     more = next(blocks, None)
     if more is None:
-        return _matches_of_block(flat, one)
+        found = _matches_of_block(flat, one)
+        return found.withColumn("_row", F.monotonically_increasing_id()) if rows else found
     # Several blocks: number the rows once, answer block after block, and merge the answers by row.
     parts = [_matches_of_block(flat, one).withColumn("_row", F.monotonically_increasing_id())]
     while more is not None:
@@ -279,16 +283,16 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_words: int =
     out = union.groupBy("_row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), joined.alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), best
     )
-    return out.select("doc_id", "n_words", "runs", "items", "best.*")
+    return out.select("doc_id", "n_words", "runs", "items", "best.*", *["_row"] * rows)
 
 
 def contaminated(n_hit, n_words):
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
-def decontamination_report(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def decontamination_report(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, rows: bool = False) -> DataFrame:
     """n_words, n_hit, items and the decision for each document."""
-    m = benchmark_matches(docs, benchmark, block_words)
+    m = benchmark_matches(docs, benchmark, block_words, rows)
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"])
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return m.select("*", n_hit.alias("n_hit")).select(
@@ -301,6 +305,7 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, block_words: i
         "longest",
         "longest_start",
         "longest_item",
+        *["_row"] * rows,
     )
 
 
@@ -309,20 +314,24 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("longest", "longest_start", "longest_item")
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents below the contamination rule; each row is judged by its own text."""
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, stable: bool = False) -> DataFrame:
+    """Documents below the contamination rule; each row is judged by its own text.
+
+    stable: docs has the same rows in the same partitions whenever it is computed, as a plain Parquet scan does; otherwise
+    several blocks of the benchmark need it written first.
+    """
     names = docs.columns
     lower = [n.lower() for n in names]
     at = names.index("text") if "text" in names else lower.index("text")
-    blocks = blocks_of(benchmark)
+    blocks = blocks_of(benchmark, block_words)
     flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     for tests in blocks:  # a block adds hits only, so several blocks need the merged report
         more = next(blocks, None)
         if more is not None:
-            bad = decontamination_report(docs, benchmark).where("contaminated").select("doc_id").distinct()
-            from ._common import filter_documents
-
-            return filter_documents(docs, bad, "doc_id", "left_anti")
+            if not stable:
+                flat = materialise(flat)
+            bad = decontamination_report(flat.toDF(*names), benchmark, block_words, rows=True).where("contaminated").select("_row")
+            return flat.withColumn("_row", F.monotonically_increasing_id()).join(bad, "_row", "left_anti").drop("_row").toDF(*names)
         sent = docs.sparkSession.sparkContext.broadcast(tests)
 
         def run(batches):
@@ -353,7 +362,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"), stable=True)
 
 
 def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], window: int = WINDOW) -> dict:

@@ -395,6 +395,14 @@ def test_decontamination(docs, spark, block_words):
     assert Counter(key(r.doc_id) for r in kept.select("doc_id").collect()) == Counter(k[0] for k in want.elements() if not k[-1])
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 5])
+def test_decontamination_removes_rows(spark, block_words):
+    bad = "The quick brown fox jumps over the lazy dog and runs far away today"
+    rows = [(None, bad), (None, "clean text without an id"), (1, bad), (1, "clean text of a repeated id"), (2, None), (3, "one")]
+    kept = decontaminate.remove_contaminated(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), spark.createDataFrame(ITEMS, "item_id long, text string"), block_words)
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[1], rows[3], rows[4]])
+
+
 def test_decontamination_empty(docs, none, spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.decontamination_report(none, items).count() == 0
