@@ -35,9 +35,11 @@ def components(links: DataFrame, most: int = 40) -> DataFrame:
     Minima are pre-aggregated, and joins back to a hub's edges can be split, so a hub of very many links is no hot task.
     """
     edges = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(most):
+    for k in range(most + 1):
         if _settled(edges):
             break
+        if k == most:
+            raise RuntimeError(f"components are not settled after {most} rounds")
         edges = materialise(_small(_large(edges)))
     tops = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(tops.select("node", F.col("node").alias("comp")))

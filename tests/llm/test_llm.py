@@ -308,6 +308,12 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100, 150: 150, 200: 150}
 
 
+def test_components_that_do_not_settle_are_refused(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        graph.components(chain, most=1)
+
+
 # -- language model ------------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("head", [500_000, 3])
 def test_lm_scores(docs, spark, head, monkeypatch):
