@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 import zlib
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,19 @@ WORD_SPACES = " \t\n\v\f\r"
 
 
 _SHIPPED: set[str] = set()
+SPLITS = "spark.sql.files.minPartitionNum"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once for each application, so they need no copy of their own."""
+    """Send this package's code to the Python workers, once for each application, so they need no copy of their own.
+
+    Also fixes how scans are cut into partitions: by default that follows the number of cores, which changes when
+    executors are lost or join, and rows are told apart by their place in several jobs.
+    """
     context = spark.sparkContext
+    if not spark.conf.get(SPLITS, None):
+        spark.conf.set(SPLITS, str(max(context.defaultParallelism, 8)))
     if context.applicationId in _SHIPPED:
         return
     _SHIPPED.add(context.applicationId)
@@ -59,13 +68,40 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def tidy(spark: SparkSession):
+    """Shuffle files of the jobs inside go when each job ends, as what they made is written by then."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     ship(spark)
     path = shared_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that materialise() wrote, once nothing reads them any more; others are left alone."""
+    for t in tables:
+        path = getattr(t, "_stored", None)
+        if path:
+            jvm, context = t.sparkSession._jvm, t.sparkSession.sparkContext
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def crc32_text(col):
@@ -80,15 +116,3 @@ def crc32_of_id(value) -> int:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def filter_documents(docs: DataFrame, keep: DataFrame, key: str, how: str) -> DataFrame:
-    """Documents whose id is (left_semi) or is not (left_anti) in keep[key]; columns and their names stay as they are.
-
-    Ids compare null-safely, so rows without an id follow the decision made for the null id.
-    """
-    names = docs.columns
-    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    at = names.index("doc_id") if "doc_id" in names else [n.lower() for n in names].index("doc_id")
-    right = keep.select(F.col(key).alias("_key"))
-    return flat.join(right, F.col(f"_c{at}").eqNullSafe(F.col("_key")), how).toDF(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import discard, materialise
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def components(links: DataFrame, most: int = 40) -> DataFrame:
             break
         if k == most:
             raise RuntimeError(f"components are not settled after {most} rounds")
-        edges = materialise(_small(_large(edges)))
+        before, edges = edges, materialise(_small(_large(edges)))
+        discard(before)
     tops = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(tops.select("node", F.col("node").alias("comp")))

@@ -6,10 +6,16 @@ better one makes them cheaper). A class of size n must share at least l of the f
 partner; each class picks its own l by estimated cost: the postings that a longer prefix reads against the candidates
 that a higher l saves. A pair must share as many prefix tokens as the smaller l asks, and as many as its sizes ask.
 
+Postings meet by block of their tokens, packed, and those of tokens that one class alone holds go no further. Sets of
+the classes that are left are written once, in buckets by class, so that verification moves the sets of hubs only.
+
 A large group of near copies shares the same tokens, and its pairs are never written out. Rounds of stars come first:
 each posting list offers one hub, each class verifies against the hub it meets most often, and verified links are
 contracted to components. Then only pairs of different components that share enough prefix tokens remain; all of them
-are verified, so no component is missed.
+are verified, so no component is missed. A hub that many ask for is copied, so they need not meet in one task, and the
+postings of a token that the sketch counts very often are dealt out by task.
+
+Sets are told apart by 64-bit hashes of their shingles and verified by the upper 48 bits of them.
 
 Defined results: null, empty and blank texts have no shingles, link with nothing and are their own component; texts of
 fewer than five words are one shingle of all their words; repeated texts are in one component; a row without an id
@@ -18,12 +24,14 @@ takes part, but can't name its component; an empty table gives an empty result;
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import filter_documents, materialise, pick, table
+from ._common import discard, materialise, pick, shared_dir, table, tidy
 from .graph import components
 
 WORDS = 5
@@ -36,6 +44,10 @@ STEPS = (1.0, 1.25, 1.5, 2.0)
 VERIFY_COST = 30.0
 STAR_ROUNDS = 3
 CACHE_WORDS = 300_000
+#: Postings of a run and of a block, about; classes that a task knows as seen; postings of a token that is dealt out.
+RUN_POSTINGS, BLOCK_POSTINGS, SEEN_CLASSES, HOT_POSTINGS = 1_000_000, 1_500_000, 300_000, 500_000
+#: Bits of the broadcast bitmap at most; bytes of a token of a set and of a bucket of sets; askers of one copy of a set.
+BITMAP_BITS, SET_BYTES, BUCKET_BYTES, ASKERS = 1 << 27, 6, 64 << 20, 256
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -150,81 +162,238 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, noise: float) -> tuple[np.nda
     return tokens[order[: n - most + level]], level
 
 
-def _postings(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(token, sid, n, l, pos) for every prefix token of every class; pos is its place. A task repeats no class."""
+def block_bits(tokens: int) -> int:
+    """Bits of a token that name its block: blocks hold about BLOCK_POSTINGS of the prefixes of so many tokens."""
+    return min(18, max(4, int(np.ceil(np.log2(max(tokens * 0.3 / BLOCK_POSTINGS, 1))))))
+
+
+def to_planes(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of unsigned numbers, all lowest ones first: they compress better than whole numbers."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _postings(docs: DataFrame, sketch: np.ndarray, bits: int) -> DataFrame:
+    """Runs of postings by block of their tokens: 40 more bits of each token, its class, l and how many prefix tokens
+    of the class lie behind it (255: or more). A task repeats no class.
+
+    A token that is in HOT_POSTINGS places or more by the sketch is shared for certain. Its runs need no block to meet
+    in, so they are dealt out by task.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
     noise = float(np.median(sketch))
 
     def run(batches):
+        from pyspark import TaskContext
         import pyarrow as pa
 
+        part = TaskContext.get().partitionId()
         cells, seen = sent.value, set()
-        names = ["token", "sid", "n", "l", "pos"]
+        kind = pa.schema([("block", pa.int32()), ("home", pa.int32()), ("hot", pa.bool_()), ("token", pa.binary()), ("sid", pa.binary()), ("l", pa.binary()), ("behind", pa.binary())])
 
         def answer(out):
-            cols = [np.concatenate([o[0] for o in out])] + [np.repeat([o[i] for o in out], [len(o[0]) for o in out]) for i in (1, 2, 3)]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1], pa.int64()), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32)), pa.array(np.concatenate([np.arange(len(o[0]), dtype=np.int32) for o in out]))], names=names)
-
+            token = np.concatenate([o[0] for o in out]) >> np.uint64(24 - bits)
+            sizes = [len(o[0]) for o in out]
+            sid = np.repeat(np.array([o[1] for o in out], np.int64), sizes)
+            level = np.repeat(np.array([o[2] for o in out], np.uint8), sizes)
+            behind = np.concatenate([np.minimum(np.arange(n - 1, -1, -1), 255).astype(np.uint8) for n in sizes])
+            hot = np.concatenate([o[3] for o in out])
+            rows = []
+            for is_hot in (False, True):
+                at = np.nonzero(hot == is_hot)[0]
+                at = at[np.argsort(token[at], kind="stable")]
+                home = (token[at] >> np.uint64(40)).astype(np.int64)
+                edge = np.searchsorted(home, np.arange((1 << bits) + 1)).tolist() if len(at) else []
+                for k, (lo, hi) in enumerate(zip(edge, edge[1:])):
+                    if lo < hi:
+                        some = at[lo:hi]
+                        block = (k + part) % (1 << bits) if is_hot else k
+                        rows.append({"block": block, "home": k, "hot": is_hot, "token": to_planes(token[some], 5), "sid": sid[some].tobytes(), "l": level[some].tobytes(), "behind": behind[some].tobytes()})
+            return pa.RecordBatch.from_pylist(rows, schema=kind)
+
+        out, size = [], 0
         for b in batches:
-            out, size = [], 0
             for text in b.column(1):
                 s = shingles(text.as_py())
                 sid = set_id(s)
                 if len(s) < 4 or sid in seen:  # smaller sets link with equal ones only
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < SEEN_CLASSES:
                     seen.add(sid)
-                p, l = prefix(s, cells[(s & np.uint64(CELLS - 1)).astype(np.int64)], noise)
-                out.append((p, sid, len(s), l))
+                count = cells[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                p, l = prefix(s, count, noise)
+                often = cells[(p & np.uint64(CELLS - 1)).astype(np.int64)] - noise >= HOT_POSTINGS
+                out.append((p, sid, l, often))
                 size += len(p)
-                if size > 500_000:
+                if size > RUN_POSTINGS:
                     yield answer(out)
                     out, size = [], 0
-            if out:
-                yield answer(out)
+        if out:
+            yield answer(out)
 
-    return docs.mapInArrow(run, "token long, sid long, n int, l int, pos int")
+    return docs.mapInArrow(run, "block int, home int, hot boolean, token binary, sid binary, l binary, behind binary")
 
 
-def _several(postings: DataFrame) -> DataFrame:
-    """Postings whose token two classes hold at least, by one exchange; a list has one row a class, and may spill."""
-    w = Window.partitionBy("token")
-    rows = postings.select("*", F.min("sid").over(w).alias("lo"), F.max("sid").over(w).alias("hi"))
-    return rows.where("lo <> hi").drop("lo", "hi").distinct()
-
-
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) of the classes in wanted (sid, doc_id), from one document each."""
+def _several(runs: DataFrame, bits: int) -> DataFrame:
+    """(token, sid, l, behind) of the tokens that two classes hold at least; a block is looked at by one task at a time."""
 
     def run(batches):
         import pyarrow as pa
 
+        current, own = None, []
+        names = ["token", "sid", "l", "behind"]
+
+        def answer(cols):
+            for at in range(0, len(cols[0]), 500_000):
+                token, sid, l, behind = (c[at : at + 500_000] for c in cols)
+                yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(sid), pa.array(l.astype(np.int16)), pa.array(behind.astype(np.int16))], names=names)
+
+        def close():
+            cols = [np.concatenate(c) for c in zip(*own)]
+            order = np.lexsort((cols[1], cols[0]))
+            token, sid = cols[0][order], cols[1][order]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+            order = order[new]
+            token = token[new]
+            first = np.nonzero(np.concatenate([[True], token[1:] != token[:-1]]))[0]
+            size = np.diff(np.append(first, len(token)))
+            yield from answer([c[order[np.repeat(size > 1, size)]] for c in cols])
+
         for b in batches:
-            out = [shingles(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in out], pa.int64()), pa.array([s.tobytes() for s in out], pa.binary())], names=["sid", "tokens"])
+            for block, home, hot, token, *rest in zip(*[b.column(i).to_pylist() for i in range(3)], *[b.column(i) for i in range(3, 7)]):
+                sid, l, behind = (np.frombuffer(c.as_py(), k) for c, k in zip(rest, (np.int64, np.uint8, np.uint8)))
+                cols = [from_planes(token.as_py(), 5) + np.uint64(home << 40), sid, l, behind]
+                if hot:
+                    yield from answer(cols)
+                    continue
+                if block != current and own:
+                    yield from close()
+                    own = []
+                current = block
+                own.append(cols)
+        if own:
+            yield from close()
 
-    some = filter_documents(docs, wanted, "doc_id", "left_semi")
-    found = some.mapInArrow(run, "sid long, tokens binary")
-    return found.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("tokens").alias("tokens"))
+    parts = max(_tasks(runs.sparkSession), (1 << bits) // 8)
+    return runs.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(run, "token long, sid long, l short, behind short")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more."""
+def _tasks(spark) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
-    def run(batches):
+
+def _mark(ids) -> np.ndarray:
+    """Places in a bitmap before it is folded to its size; a missing id has a place too."""
+    x = np.array([-1 if i is None else i for i in ids], np.int64).view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _bitmap(ids: DataFrame, n: int) -> np.ndarray:
+    """A bitmap of n ids, 16 bits for each up to BITMAP_BITS in all: beyond that it lets more of the others pass."""
+    bits = 1 << 16
+    while bits < min(16 * n, BITMAP_BITS):
+        bits *= 2
+    chunk = min(bits, 1 << 20)
+
+    def place(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            at = _mark(b.column(0).to_pylist()) & np.uint64(bits - 1)
+            yield pa.RecordBatch.from_arrays([pa.array((at // np.uint64(chunk)).astype(np.int32)), pa.array((at % np.uint64(chunk)).astype(np.int32))], names=["chunk", "at"])
+
+    def fill(batches):
         import pyarrow as pa
 
+        out: dict[int, np.ndarray] = {}
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= 80 * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            k, at = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for c in np.unique(k).tolist():
+                out.setdefault(c, np.zeros(chunk, bool))[at[k == c]] = True
+        for c, x in out.items():
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "bits": pa.array([np.packbits(x).tobytes()], pa.binary())})
+
+    out = np.zeros(bits // 8, np.uint8)
+    rows = ids.mapInArrow(place, "chunk int, at int").repartition(min(bits // chunk, 64), "chunk").mapInArrow(fill, "chunk int, bits binary")
+    for r in rows.toLocalIterator():
+        out[r.chunk * chunk // 8 : (r.chunk + 1) * chunk // 8] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+class Sets:
+    """The token sets of some classes, as a table in buckets by class, so that looking them up moves no set.
 
-    one = pairs.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a")
-    both = one.join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a long, b long")
+    wanted: (sid, doc_id), a document of each class. A bitmap of bounded size passes over most other documents before
+    their texts are read; an exact join leaves out the rest.
+    """
+
+    def __init__(self, docs: DataFrame, wanted: DataFrame):
+        spark = docs.sparkSession
+        size = wanted.agg(F.count("*").alias("n"), F.sum("n").alias("tokens")).first()
+        sent = spark.sparkContext.broadcast(_bitmap(wanted.select("doc_id"), size.n))
+        self.spark, self.name, self.path = spark, f"siltstone_sets_{uuid.uuid4().hex}", shared_dir(spark)
+        self.buckets = max(_tasks(spark), -(-SET_BYTES * (size.tokens or 0) // BUCKET_BYTES))
+
+        def run(batches):
+            import pyarrow as pa
+
+            bits = sent.value
+            for b in batches:
+                at = _mark(b.column(0).to_pylist()) & np.uint64(8 * len(bits) - 1)
+                hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1
+                out = [shingles(t.as_py()) for t in b.column(1).filter(pa.array(hit == 1))]
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in out], pa.int64()), pa.array([len(s) for s in out], pa.int32()), pa.array([to_planes(s >> np.uint64(16), 6) for s in out], pa.binary())], names=["sid", "size", "tokens"])
+
+        found = docs.mapInArrow(run, "sid long, size int, tokens binary").repartition(self.buckets, "sid")
+        exact = found.join(wanted.select("sid").hint("shuffle_hash"), "sid", "left_semi").dropDuplicates(["sid"])
+        with tidy(spark):
+            exact.write.bucketBy(self.buckets, "sid").option("path", self.path).saveAsTable(self.name)
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        gone = self.spark.range(0)
+        gone._stored = self.path
+        discard(gone)
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets have a Jaccard similarity of 0.8 or more. listed: how many classes may ask for b.
+
+        The set of b goes to those who ask for it; of one that many may ask for there are several copies, each for some.
+        """
+
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                keep = []
+                for n, m, x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4), b.column(5)):
+                    both = len(np.intersect1d(from_planes(x.as_py(), 6), from_planes(y.as_py(), 6), assume_unique=True))
+                    keep.append(100 * both >= 80 * (n + m - both))
+                yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        pairs = pairs.select("a", "b", F.ceil(F.col("listed") / ASKERS).cast("int").alias("copies"))
+        pairs = materialise(pairs.withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int")))
+        asked = pairs.groupBy("b").agg(F.max("copies").alias("copies"))
+        sent = asked.join(self.table().select(F.col("sid").alias("b"), F.col("size").alias("m"), F.col("tokens").alias("y")), "b")
+        sent = sent.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+        mine = pairs.select("a", "b", "copy").join(sent.hint("merge"), ["b", "copy"])
+        own = self.table().select(F.col("sid").alias("a"), F.col("size").alias("n"), F.col("tokens").alias("x"))
+        both = mine.join(own.hint("merge"), "a").select("a", "b", "n", "m", "x", "y")
+        out = materialise(both.mapInArrow(run, "a long, b long"))
+        discard(pairs)
+        return out
 
 
 def _needed(n1, l1, n2, l2):
@@ -238,19 +407,25 @@ def _sizes_fit(n1, n2):
     return (5 * F.least(n1, n2)) >= (4 * F.greatest(n1, n2))
 
 
-def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(sid, comp) of all classes that link with another one."""
-    shared = materialise(_several(_postings(docs, sketch)))
+def _early(behind, need):
+    """Of need shared tokens one has need - 1 more behind it, in both classes."""
+    return behind >= F.least(need, F.lit(256)) - 1
+
+
+def link_classes(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, star_rounds: int = STAR_ROUNDS) -> DataFrame | None:
+    """(sid, comp) of all classes that link with another one; classes: (sid, n, doc_id), written, one row a class."""
+    bits = block_bits(classes.agg(F.sum("n")).first()[0] or 0)
+    met = materialise(_several(_postings(docs, sketch, bits), bits))
     # A class must share as many tokens as the smallest partner it could have would ask for.
-    counts = shared.groupBy("sid").agg(F.count("*").alias("m"))
     smallest = F.floor((4 * F.col("n") + 4) / 5)
     asked = F.least(F.lit(LEAST_MOST), F.greatest(F.lit(1), F.floor(smallest / LEAST_DIV)))
-    shared = shared.join(counts, "sid").where(F.col("m") >= asked)
+    live = met.groupBy("sid").agg(F.count("*").alias("m")).join(classes.hint("merge"), "sid").where(F.col("m") >= asked)
+    live = materialise(live.select("sid", "m", F.col("n").cast("int").alias("n"), "doc_id", asked.cast("int").alias("asked")))
     # Two classes that share `need` prefix tokens meet at a place with need - 1 more behind it, in both.
-    length = F.col("n") - smallest + F.col("l")
-    shared = materialise(shared.withColumn("length", length.cast("int")).withColumn("early", F.col("pos") <= length - asked))
-    wanted = base.join(shared.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialise(_sets(docs, wanted))
+    shared = met.join(live.drop("doc_id").hint("merge"), "sid").select("token", "sid", "n", "l", "m", "behind", _early(F.col("behind"), F.col("asked")).alias("early"))
+    shared = materialise(shared)
+    discard(met)
+    sets = Sets(docs, live.select("sid", "doc_id", "n"))
     links, labels = None, None
 
     def labelled() -> DataFrame:
@@ -261,30 +436,32 @@ def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_roun
 
     def add(found: DataFrame) -> int:
         nonlocal links, labels
-        found = materialise(found)
         n = found.count()
         if n:
-            links = found if links is None else links.unionByName(found)
-            labels = materialise(components(links).select(F.col("node").alias("sid"), "comp"))
+            # Stars of what was known stand for its links.
+            links = found if labels is None else found.unionByName(labels.where("sid <> comp").select(F.col("sid").alias("a"), F.col("comp").alias("b")))
+            before, labels = labels, materialise(components(links).select(F.col("node").alias("sid"), "comp"))
+            discard(before)
+        discard(found)
         return n
 
     for r in range(star_rounds):
         rows = labelled()
-        rows = rows.where(F.col("pos") <= F.col("length") - _needed(F.col("n"), F.col("l"), F.col("n"), F.col("l")))
+        rows = rows.where(_early(F.col("behind"), _needed(F.col("n"), F.col("l"), F.col("n"), F.col("l"))))
         # The first hub of a list is the class with the most shared tokens, later ones are drawn by hash.
         rank = (F.col("m") / F.col("n")) if r == 0 else F.xxhash64(F.col("sid"), F.lit(r)).cast("double")
         hub = F.max_by(F.struct("sid", "n", "l", "m", "comp"), F.struct(rank, F.col("sid"))).alias("h")
-        heads = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub).where("lo <> hi").select("token", "h")
-        meets = rows.join(heads, "token").where((F.col("comp") != F.col("h.comp")) & _sizes_fit(F.col("n"), F.col("h.n")))
+        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub, F.count("*").alias("listed"))
+        meets = rows.join(lists.where("lo <> hi").select("token", "h", "listed"), "token").where((F.col("comp") != F.col("h.comp")) & _sizes_fit(F.col("n"), F.col("h.n")))
         need = _needed(F.col("n"), F.col("l"), F.col("h.n"), F.col("h.l"))
         meets = meets.where((F.col("m") >= need) & (F.col("h.m") >= need))
-        votes = meets.groupBy("sid", F.col("h.sid").alias("hub")).agg(F.count("*").alias("c"))
-        best = votes.groupBy("sid").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
-        if not add(verify(best.select(F.col("sid").alias("a"), F.col("hub").alias("b")), sets)):
+        votes = meets.groupBy("sid", F.col("h.sid").alias("hub")).agg(F.count("*").alias("c"), F.max("listed").alias("listed"))
+        best = votes.groupBy("sid").agg(F.max_by(F.struct("hub", "listed"), F.struct("c", "hub")).alias("best"))
+        if not add(sets.verify(best.select(F.col("sid").alias("a"), F.col("best.hub").alias("b"), F.col("best.listed").alias("listed")))):
             break
     rows = labelled()
-    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    left = rows.join(open_, "token")
+    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("listed")).where("lo <> hi")
+    left = materialise(rows.join(open_.select("token", "listed"), "token"))
     a, b = left.alias("a"), left.alias("b")
     col = lambda t, c: F.col(f"{t}.{c}")
     need = _needed(col("a", "n"), col("a", "l"), col("b", "n"), col("b", "l"))
@@ -295,15 +472,19 @@ def link_classes(docs: DataFrame, base: DataFrame, sketch: np.ndarray, star_roun
         & _sizes_fit(col("a", "n"), col("b", "n"))
         & (col("a", "m") >= need)
         & (col("b", "m") >= need)
-        & (col("a", "pos") <= col("a", "length") - need)
-        & (col("b", "pos") <= col("b", "length") - need)
+        & _early(col("a", "behind"), need)
+        & _early(col("b", "behind"), need)
     )
-    pairs = a.join(b, meet).select(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need")).distinct()
+    pairs = a.join(b, meet).groupBy(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need")).agg(F.max(col("a", "listed")).alias("listed"))
+    pairs = materialise(pairs)
     # Enough shared prefix tokens, before any whole set is read.
-    tokens = shared.groupBy("sid").agg(F.collect_list("token").alias("tokens"))
-    some = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-    pairs = some.where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b")
-    add(verify(pairs, sets))
+    some = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    tokens = materialise(shared.join(some, "sid", "left_semi").groupBy("sid").agg(F.collect_list("token").alias("tokens")))
+    close = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
+    close = close.where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b", "listed")
+    add(sets.verify(close))
+    sets.drop()
+    discard(left, pairs, tokens, shared, live)
     return labels
 
 
@@ -313,15 +494,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = materialise(_first_pass(docs))
     base = first.where("chunk is null").select("doc_id", "n", "sid")
     sketch = _sketch(first.where("chunk is not null"))
-    labels = link_classes(docs, base.where("n > 3"), sketch)
-    least = base.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
+    # One row a class: partial minima come first, so many copies of one text are no hot task.
+    classes = materialise(base.where("n > 0").groupBy("sid").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")))
+    labels = link_classes(docs, classes.where("n > 3"), sketch)
+    least = classes.select("sid", F.col("doc_id").alias("least"))
     if labels is not None:
-        named = least.join(labels, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+        linked = least.join(labels, "sid")
+        top = linked.groupBy("comp").agg(F.min("least").alias("top"))
+        by_class = least.join(linked.join(top, "comp").select("sid", "top"), "sid", "left").select("sid", F.coalesce("top", "least").alias("component_id"))
+        by_class = materialise(by_class)
+        discard(labels, classes)
     else:
-        named = least.withColumn("comp", F.col("sid"))
-    named = materialise(named)
-    top = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_class = named.join(top, "comp").select("sid", "component_id")
+        by_class = least.withColumnRenamed("least", "component_id")
     out = base.join(by_class, "sid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
