@@ -43,30 +43,96 @@ STEPS = (1.0, 1.25, 1.5, 2.0)
 #: Cost of verifying a candidate, in postings read.
 VERIFY_COST = 30.0
 STAR_ROUNDS = 3
-CACHE_WORDS = 300_000
 #: Postings of a run and of a block, about; classes that a task knows as seen; postings of a token that is dealt out.
-RUN_POSTINGS, BLOCK_POSTINGS, SEEN_CLASSES, HOT_POSTINGS = 1_000_000, 1_500_000, 300_000, 500_000
+RUN_POSTINGS, BLOCK_POSTINGS, SEEN_CLASSES, HOT_POSTINGS = 1_000_000, 500_000, 300_000, 500_000
 #: Bits of the broadcast bitmap at most; bytes of a token of a set and of a bucket of sets; askers of one copy of a set.
 BITMAP_BITS, SET_BYTES, BUCKET_BYTES, ASKERS = 1 << 27, 6, 64 << 20, 256
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Bytes that are hashed together. A longer word is hashed by itself.
+SEGMENT = 1 << 19
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = np.random.Generator(np.random.PCG64(5)).integers(0, 2**64 - 1, 256, np.uint64)[np.frombuffer(_FOLD, np.uint8)]
+_BASE = 0xC2B2AE3D27D4EB4F
+
+
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(SEGMENT, base, np.uint64)]), dtype=np.uint64)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+_POWER, _INVERSE = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
+
+
+def scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _M1
+    x = (x ^ (x >> np.uint64(27))) * _M2
+    return x ^ (x >> np.uint64(31))
 
 
-_HASH = _WordHash()
+def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the words in bytes of several texts that begin at starts; polynomials by one running sum."""
+    space = _IS_SPACE[data]
+    before, after = np.ones(len(data), bool), np.ones(len(data), bool)
+    before[1:], after[:-1] = space[:-1], space[1:]
+    starts = starts[(starts > 0) & (starts < len(data))]
+    before[starts], after[starts - 1] = True, True
+    np.logical_not(space, out=space)
+    begin, end = np.nonzero(space & before)[0], np.nonzero(space & after)[0] + 1
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _POWER[: len(data)], out=total[1:])
+    size = (end - begin).astype(np.uint64)
+    return scramble((total[end] - total[begin]) * _INVERSE[begin] + size * _A), begin
+
+
+def _long_text(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text beyond SEGMENT bytes, cut between words."""
+    out, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        space = _IS_SPACE[data[at : at + SEGMENT + 1]]
+        if space[0]:
+            at += len(space) if space.all() else int(space.argmin())
+            continue
+        gap = np.nonzero(space)[0]
+        if len(space) <= SEGMENT or len(gap):
+            stop = at + (len(space) if len(space) <= SEGMENT else int(gap[-1]))
+            out.append(_words(data[at:stop], np.zeros(0, np.int64))[0])
+        else:
+            stop = at + len(space)
+            while stop < len(data) and not _IS_SPACE[data[stop]]:
+                space = _IS_SPACE[data[stop : stop + SEGMENT]]
+                stop += int(space.argmax()) if space.any() else len(space)
+            out.append(np.array([xxhash.xxh3_64_intdigest(data[at:stop].tobytes().translate(_FOLD))], np.uint64))
+        at = stop
+    return np.concatenate(out)
+
+
+def _groups(column):
+    """(word hashes, bounds of the rows in them) for rows of about SEGMENT bytes together; column: an Arrow string array."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column.cast(pa.large_binary()), b"") if column.null_count else column.cast(pa.large_binary())
+    offset = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    held = column.buffers()[2] if len(column) else None
+    data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8)
+    row = 0
+    while row < len(column):
+        stop = max(row + 1, int(np.searchsorted(offset, offset[row] + SEGMENT, "right")) - 1)
+        bytes_, starts = data[offset[row] : offset[stop]], offset[row : stop + 1] - offset[row]
+        if len(bytes_) > SEGMENT:
+            h = _long_text(bytes_)
+            yield h, [0, len(h)]
+        else:
+            h, begin = _words(bytes_, starts)
+            yield h, np.searchsorted(begin, starts).tolist()
+        row = stop
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words: lower-cased (A-Z only) runs without ASCII white space."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
-    return np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words))
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    return _long_text(data) if len(data) > SEGMENT else _words(data, np.zeros(0, np.int64))[0]
 
 
 def mix(h: np.ndarray, size: int) -> np.ndarray:
@@ -80,12 +146,28 @@ def mix(h: np.ndarray, size: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def shingle_sets(column, words: int = WORDS):
+    """The set of shingle hashes of each row, sorted."""
+    for h, bounds in _groups(column):
+        runs = mix(h, words) if len(h) >= words else None
+        for lo, hi in zip(bounds, bounds[1:]):
+            n = hi - lo
+            if n >= words:
+                yield _distinct(runs[lo : hi - words + 1])
+            else:  # all words are one shingle
+                yield mix(h[lo:hi], n) + np.uint64(n) if n else h[:0]
+
+
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The set of shingle hashes, sorted."""
-    h = word_hashes(text)
-    if not len(h):
-        return h
-    return np.unique(mix(h, min(words, len(h))) + np.uint64(min(words, len(h)) % words))
+    """The set of shingle hashes of one text, sorted."""
+    import pyarrow as pa
+
+    return next(shingle_sets(pa.array([text or ""]), words))
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -112,12 +194,17 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n", "sid", "chunk", "cells"]
         kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("chunk", pa.int32()), ("cells", pa.binary())])
         for b in batches:
-            ids, sizes = [], []
-            for text in b.column(1):
-                s = shingles(text.as_py())
+            ids, sizes, held, size = [], [], [], 0
+            for s in shingle_sets(b.column(1)):
                 sizes.append(len(s))
                 ids.append(set_id(s))
-                np.add.at(cells, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
+                held.append(s)
+                size += len(s)
+                if size > SEGMENT:
+                    np.add.at(cells, (np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), 1)
+                    held, size = [], 0
+            if held:
+                np.add.at(cells, (np.concatenate(held) & np.uint64(CELLS - 1)).astype(np.int64), 1)
             none = pa.nulls(b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         for k in range(CELLS // CHUNK):
@@ -153,9 +240,9 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, noise: float) -> tuple[np.nda
     n = len(tokens)
     most = fifths(n)
     levels = sorted({min(most, int(least_level(n) * x)) for x in STEPS})
-    # Rarest first; counts below the sketch's noise are alike, so the hash decides there.
+    # Rarest first; counts below the sketch's noise are alike, so the hash decides there. Tokens come sorted.
     key = np.maximum(counts - noise, 0).astype(np.int64)
-    order = np.lexsort((tokens, key))[: n - most + levels[-1]]
+    order = np.argsort(key, kind="stable")[: n - most + levels[-1]]
     reads = np.cumsum(key[order] + 1.0)
     cost = [reads[n - most + l - 1] * (1 + VERIFY_COST / l) for l in levels]
     level = levels[int(np.argmin(cost))]
@@ -219,8 +306,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, bits: int) -> DataFrame:
 
         out, size = [], 0
         for b in batches:
-            for text in b.column(1):
-                s = shingles(text.as_py())
+            for s in shingle_sets(b.column(1)):
                 sid = set_id(s)
                 if len(s) < 4 or sid in seen:  # smaller sets link with equal ones only
                     continue
@@ -291,10 +377,7 @@ def _tasks(spark) -> int:
 
 def _mark(ids) -> np.ndarray:
     """Places in a bitmap before it is folded to its size; a missing id has a place too."""
-    x = np.array([-1 if i is None else i for i in ids], np.int64).view(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    return scramble(np.array([-1 if i is None else i for i in ids], np.int64).view(np.uint64))
 
 
 def _bitmap(ids: DataFrame, n: int) -> np.ndarray:
@@ -350,7 +433,7 @@ class Sets:
             for b in batches:
                 at = _mark(b.column(0).to_pylist()) & np.uint64(8 * len(bits) - 1)
                 hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1
-                out = [shingles(t.as_py()) for t in b.column(1).filter(pa.array(hit == 1))]
+                out = list(shingle_sets(b.column(1).filter(pa.array(hit == 1))))
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in out], pa.int64()), pa.array([len(s) for s in out], pa.int32()), pa.array([to_planes(s >> np.uint64(16), 6) for s in out], pa.binary())], names=["sid", "size", "tokens"])
 
         found = docs.mapInArrow(run, "sid long, size int, tokens binary").repartition(self.buckets, "sid")
@@ -460,8 +543,8 @@ def link_classes(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, star_r
         if not add(sets.verify(best.select(F.col("sid").alias("a"), F.col("best.hub").alias("b"), F.col("best.listed").alias("listed")))):
             break
     rows = labelled()
-    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("listed")).where("lo <> hi")
-    left = materialise(rows.join(open_.select("token", "listed"), "token"))
+    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    left = materialise(rows.join(open_.select("token"), "token"))
     a, b = left.alias("a"), left.alias("b")
     col = lambda t, c: F.col(f"{t}.{c}")
     need = _needed(col("a", "n"), col("a", "l"), col("b", "n"), col("b", "l"))
@@ -475,16 +558,20 @@ def link_classes(docs: DataFrame, classes: DataFrame, sketch: np.ndarray, star_r
         & _early(col("a", "behind"), need)
         & _early(col("b", "behind"), need)
     )
-    pairs = a.join(b, meet).groupBy(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need")).agg(F.max(col("a", "listed")).alias("listed"))
-    pairs = materialise(pairs)
+    pairs = materialise(a.join(b, meet).select(col("a", "sid").alias("a"), col("b", "sid").alias("b"), need.alias("need")).distinct())
     # Enough shared prefix tokens, before any whole set is read.
     some = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     tokens = materialise(shared.join(some, "sid", "left_semi").groupBy("sid").agg(F.collect_list("token").alias("tokens")))
     close = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-    close = close.where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b", "listed")
-    add(sets.verify(close))
+    close = materialise(close.where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b"))
+    # The set of the class with more partners goes to the others, in copies.
+    partners = materialise(close.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("d")))
+    mine, other = (partners.select(F.col("sid").alias(c), F.col("d").alias(f"d{c}")) for c in "ab")
+    swap = F.col("da") > F.col("db")
+    told = close.join(mine, "a").join(other, "b")
+    add(sets.verify(told.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"), F.greatest("da", "db").alias("listed"))))
     sets.drop()
-    discard(left, pairs, tokens, shared, live)
+    discard(left, pairs, tokens, close, partners, shared, live)
     return labels
 
 

@@ -9,7 +9,7 @@ with the levels of its n-grams, and of words with their exact counts too, and th
 again. Probabilities are smoothed towards the unigrams that the same filter holds. The exact unigram score comes beside.
 
 Defined results: a null or empty text is its end alone; a row without an id counts as training; repeated rows count
-and are scored each; an empty table gives an empty result; without any training row counts are zero; other columns are
+and are scored each; a very long text is a chunk of its own; an empty table gives an empty result; without any training row counts are zero; other columns are
 ignored.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import crc32_text, materialise, pick, table
-from .jaccard import mix, word_hashes
+from .jaccard import mix, scramble, word_hashes
 
 ORDER = 2
 #: Bits of a block's filter: at least so many for each member, so a probe is wrong for fewer than one in ten.
@@ -34,13 +34,6 @@ CHUNK_BYTES, BLOCK_BYTES = 6_000_000, 8_000_000
 END = np.uint64(0xA5A5_5A5A_1234_9876)
 #: What lies before a text.
 BEFORE = np.array([END])
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
 
 
 def tokens_of(text: str | None) -> np.ndarray:
@@ -169,7 +162,7 @@ def _width(most: int) -> type:
     return np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int64
 
 
-def _merge(runs: DataFrame, least_bits: int) -> DataFrame:
+def _merge(runs: DataFrame, blocks: int, least_bits: int) -> DataFrame:
     """The answer to each run: levels of its n-grams and counts of its words; and a row of totals (gram 0) for each block."""
 
     def run(batches):
@@ -213,7 +206,7 @@ def _merge(runs: DataFrame, least_bits: int) -> DataFrame:
         if own:
             yield from close()
 
-    parts = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    parts = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks // 4, 1)
     sorted_runs = runs.repartition(parts, "block").sortWithinPartitions("block")
     return sorted_runs.mapInArrow(run, "block int, chunk long, gram int, levels binary, counts binary, tokens long, distinct long")
 
@@ -221,8 +214,8 @@ def _merge(runs: DataFrame, least_bits: int) -> DataFrame:
 class Model:
     """The answers to the chunks of documents, how they were cut, and the totals."""
 
-    def __init__(self, answers: DataFrame, tokens: int, distinct: int, order: int, chunk_bytes: int):
-        self.answers, self.tokens, self.distinct, self.order, self.chunk_bytes = answers, tokens, distinct, order, chunk_bytes
+    def __init__(self, answers: DataFrame, tokens: int, distinct: int, order: int, chunk_bytes: int, tasks: int):
+        self.answers, self.tokens, self.distinct, self.order, self.chunk_bytes, self.tasks = answers, tokens, distinct, order, chunk_bytes, tasks
 
 
 def score_chunk(docs: list[np.ndarray], levels: dict[int, np.ndarray], exact: np.ndarray, tokens: int, distinct: int, order: int):
@@ -255,10 +248,10 @@ def train(docs: DataFrame, order: int = ORDER, least_bits: int = LEAST_BITS, chu
     blocks = 64
     while blocks < 65536 and (blocks < parts or blocks * BLOCK_BYTES < length):
         blocks *= 2
-    merged = materialise(_merge(_gather(docs.select("text", "held_out"), order, blocks, chunk_bytes), least_bits))
+    merged = materialise(_merge(_gather(docs.select("text", "held_out"), order, blocks, chunk_bytes), blocks, least_bits))
     total = merged.where("gram = 0").agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     answers = merged.where("gram > 0").select("chunk", "gram", "block", "levels", "counts")
-    return Model(answers, total.n or 0, total.v or 0, order, chunk_bytes)
+    return Model(answers, total.n or 0, total.v or 0, order, chunk_bytes, length // (4 * chunk_bytes))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -287,7 +280,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         cols = [own["doc_id"], own["held_out"], pa.array(size), pa.array(known), pa.array(np.full(len(size), tokens)), pa.array(base), pa.array(total)]
         return pa.Table.from_arrays(cols, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), model.tasks, 1)
     numbered = docs.select("doc_id", "text", "held_out").mapInArrow(number, "doc_id long, text string, held_out boolean, chunk long")
     both = [x.repartition(parts, "chunk").groupBy("chunk") for x in (numbered, model.answers)]
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
