@@ -1,12 +1,15 @@
 """Uniform sharding by a hypergeometric communication matrix.
 
 How many rows each input partition sends to each output block follows a multivariate hypergeometric law, so it is
-drawn first, exactly, on the driver: partitions x blocks integers, whatever the number of rows. Each partition then
-permutes its rows locally, the rows are exchanged, and each block is permuted again by a random key. Shard sizes are
-exact (counts differ by one at most) and every arrangement is equally likely.
+drawn first, exactly. The matrix is never held: the partitions are halved again and again, each half's share of every
+block is drawn from a generator seeded by the half, and a task follows the halves that it is in down to its own row. It
+needs the partitions' counts and one number a block, so blocks keep their size however many partitions there are. Each
+partition then permutes its rows locally, the rows are exchanged, and each block is permuted again by a random key.
+Shard sizes are exact (counts differ by one at most) and every arrangement is equally likely.
 
 Defined results: a null text counts no bytes (size 1, crc32 of the empty text); null ids, repeated rows and ties are
-ordinary rows; an empty table gives an empty result; other columns travel along untouched.
+ordinary rows; very long texts travel as they are, and count as one row; an empty table gives an empty result; other
+columns travel along untouched.
 """
 
 from __future__ import annotations
@@ -20,10 +23,12 @@ from pyspark.sql import types as T
 
 from ._common import materialise, pick, table
 
-#: Bound of the matrix that is broadcast, in entries of 8 bytes.
-MATRIX_ENTRIES = 4_000_000
-#: Rows that a block should hold at most, while the matrix bound allows it.
-BLOCK_ROWS = 200_000
+#: Rows that a block holds at most.
+BLOCK_ROWS = 32_768
+#: Blocks whose share is drawn together, in populations that are too large for numpy.
+GROUP_BLOCKS = 1_024
+#: Tasks that blocks are dealt to at most; each looks at one block at a time.
+MOST_TASKS = 100_000
 #: numpy draws hypergeometric numbers below this population only.
 NUMPY_LIMIT = 1_000_000_000
 
@@ -55,25 +60,52 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) ->
             return k
 
 
-def communication_matrix(counts: list[int], capacity: list[int], seed: int) -> np.ndarray:
-    """Exact draw of how many rows each partition sends to each block; row sums are counts, column sums capacity."""
-    rng = np.random.Generator(np.random.PCG64([seed, 1]))
-    left = np.array(capacity, dtype=np.int64)
-    out = np.zeros((len(counts), len(capacity)), dtype=np.int64)
-    for p, n in enumerate(counts):
-        total, todo = int(left.sum()), n
-        if 0 < n and total < NUMPY_LIMIT:
-            out[p] = rng.multivariate_hypergeometric(left, n, method="marginals")
-        else:
-            for b in range(len(left)):
-                if todo == 0:
-                    break
-                x = hypergeometric(rng, int(left[b]), total - int(left[b]), todo)
-                out[p, b], todo, total = x, todo - x, total - int(left[b])
-        left -= out[p]
+def _share(rng: np.random.Generator, left: np.ndarray, draws: int, limit: int) -> np.ndarray:
+    """How many of each kind are among draws without replacement from left, for any population."""
+    total = int(left.sum())
+    if total < limit:
+        return rng.multivariate_hypergeometric(left, draws, method="marginals")
+    if len(left) > GROUP_BLOCKS:  # groups first, then the kinds of each group
+        edge = np.arange(0, len(left), GROUP_BLOCKS)
+        got = _share(rng, np.add.reduceat(left, edge), draws, limit)
+        return np.concatenate([_share(rng, left[e : e + GROUP_BLOCKS], int(n), limit) for e, n in zip(edge.tolist(), got)])
+    out = np.zeros(len(left), np.int64)
+    for b, n in enumerate(left.tolist()):
+        x = hypergeometric(rng, n, total - n, draws)
+        out[b], draws, total = x, draws - x, total - n
     return out
 
 
+def matrix_row(p: int, before: np.ndarray, capacity: np.ndarray, seed: int, limit: int = NUMPY_LIMIT) -> np.ndarray:
+    """How many rows partition p sends to each block: row p of an exact draw of the whole matrix.
+
+    before: rows of the partitions before each one, and of all. Row sums are the partitions' counts, column sums capacity.
+    """
+    lo, hi, own = 0, len(before) - 1, np.array(capacity, np.int64)
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        rng = np.random.Generator(np.random.PCG64([seed, 1, lo, hi]))
+        first = _share(rng, own, int(before[mid] - before[lo]), limit)
+        lo, hi, own = (lo, mid, first) if p < mid else (mid, hi, own - first)
+    return own
+
+
+def communication_matrix(counts: list[int], capacity: list[int], seed: int, limit: int = NUMPY_LIMIT) -> np.ndarray:
+    """All rows, for small cases."""
+    before = np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])
+    return np.stack([matrix_row(p, before, capacity, seed, limit) for p in range(len(counts))])
+
+
+def block_sizes(total: int, n_shards: int, block_rows: int, least_blocks: int = 1) -> tuple[int, np.ndarray]:
+    """Blocks of a shard, and the rows of every block, shard by shard: they differ by one at most in a shard."""
+    k = max(1, math.ceil(total / n_shards / block_rows), math.ceil(least_blocks / n_shards))
+    k = min(k, max(1, total // n_shards))
+    base, over = divmod(total, n_shards)
+    shard = np.arange(n_shards) < over
+    each, more = np.divmod(base + shard.astype(np.int64), k)
+    return k, (each[:, None] + (np.arange(k) < more[:, None])).ravel()
+
+
 def hypergeometric_shards(
     df: DataFrame, n_shards: int = 16, seed: int = 17, stable: bool = False, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -87,9 +119,6 @@ def hypergeometric_shards(
     if not stable:
         df = materialise(df)
     parts = df.rdd.getNumPartitions()
-    most = max(1, MATRIX_ENTRIES // n_shards)
-    if parts > most:
-        df, parts = df.coalesce(most), most
 
     def count(batches):
         from pyspark import TaskContext
@@ -100,25 +129,20 @@ def hypergeometric_shards(
 
     narrow = df.select(F.lit(1).cast("byte").alias("one"))
     found = {r.p: r.n for r in narrow.mapInArrow(count, "p int, n long").collect()}
-    counts = [found.get(p, 0) for p in range(parts)]
-    total = sum(counts)
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    k = max(1, math.ceil(total / n_shards / block_rows), math.ceil(2 * shuffle / n_shards))
-    k = max(1, min(k, MATRIX_ENTRIES // max(1, parts * n_shards), max(1, total // n_shards)))
+    before = np.concatenate([[0], np.cumsum([found.get(p, 0) for p in range(parts)], dtype=np.int64)])
+    total = int(before[-1])
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    k, capacity = block_sizes(total, n_shards, block_rows, 2 * tasks)
     base, over = divmod(total, n_shards)
-    capacity = []
-    for s in range(n_shards):
-        b, o = divmod(base + (s < over), k)
-        capacity += [b + (i < o) for i in range(k)]
-    matrix = communication_matrix(counts, capacity, seed)
-    sent = spark.sparkContext.broadcast(matrix)
+    sent = spark.sparkContext.broadcast(before)  # one number a partition
+    asked = (n_shards, block_rows, 2 * tasks)
 
     def scatter(batches):
         from pyspark import TaskContext
         import pyarrow as pa
 
         p = TaskContext.get().partitionId()
-        row = sent.value[p]
+        row = matrix_row(p, sent.value, block_sizes(total, *asked)[1], seed)
         rng = np.random.Generator(np.random.PCG64([seed, 2, p]))
         dest = rng.permutation(np.repeat(np.arange(len(row), dtype=np.int32), row))
         done = 0
@@ -132,7 +156,7 @@ def hypergeometric_shards(
     names = df.columns
     flat = df.toDF(*[f"_c{i}" for i in range(len(names))])
     schema = T.StructType([*flat.schema.fields, T.StructField("_block", T.IntegerType()), T.StructField("_key", T.LongType())])
-    moved = flat.mapInArrow(scatter, schema)
+    moved = flat.mapInArrow(scatter, schema).repartition(max(tasks, min(len(capacity), MOST_TASKS)), "_block")
     w = Window.partitionBy("_block").orderBy("_key")
     shard = F.floor(F.col("_block") / k).cast("int")
     block = (F.col("_block") % k).cast("long")
