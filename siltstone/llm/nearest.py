@@ -4,7 +4,8 @@ Codebooks of full dimension are fitted stage by stage to the residuals of a boun
 vector is encoded by beam search over the stages: the sum of one codeword a stage approximates it; the codes and the
 norm of the sum are stored beside the vector. A block of queries makes one lookup table per stage, code scores are sums
 of table entries divided by the stored norm, and the best of each partition are reranked by the exact cosine in double
-precision before anything is exchanged, so a partition sends `k` rows a query.
+precision before anything is exchanged, so a partition sends `k` rows a query. How many are reranked follows from the
+sample: where the codes say little, as with unstructured vectors of many dimensions, more are.
 
 Equal vectors (copies) tie exactly: only the k + 1 smallest ids of each distinct vector of a chunk can be among the
 answers, and only those are scored, so large groups of copies can't crowd others out.
@@ -30,9 +31,13 @@ BEAM = 4
 SAMPLE_ROWS = 8_192
 #: Queries in one broadcast block.
 QUERY_BLOCK = 4_096
-#: Candidates of a chunk that are reranked exactly for each query.
+#: Candidates of a chunk that are reranked exactly for each query, at least.
 RERANK = 256
 CHUNK = 4_096
+#: Queries of the sample that the number of candidates is found with, and the share of their answers it must hold.
+TRIALS, TRIAL_SHARE = 128, 0.99
+#: Numbers that reranking holds at once; best of a chunk that are compared once more where all its cosines are at hand.
+HELD_NUMBERS, FINALISTS = 4_000_000, 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -88,6 +93,34 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
     return codes[rows, best], np.maximum(norm, 1e-12)
 
 
+def code_scores(luts: np.ndarray, codes: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Scores (queries, rows) from lookup tables (stages, queries, codes)."""
+    score = np.zeros((luts.shape[1], len(codes)), np.float32)
+    for m in range(len(luts)):
+        score += luts[m][:, codes[:, m]]
+    return score / norm
+
+
+def lookup_tables(queries: np.ndarray, books: np.ndarray) -> np.ndarray:
+    return np.einsum("qd,mcd->mqc", queries, books).astype(np.float32)
+
+
+def rerank_depth(sample: np.ndarray, books: np.ndarray, k: int, least: int = RERANK) -> int:
+    """How deep among a chunk's code scores the k nearest lie, by queries from the sample of unit vectors."""
+    rows = sample[:CHUNK]
+    n = min(TRIALS, len(rows))
+    if len(rows) <= max(least, k + 1):
+        return least
+    score = code_scores(lookup_tables(rows[:n].astype(np.float32), books), *encode(rows, books))
+    exact = rows[:n] @ rows.T
+    for x in (score, exact):
+        x[np.arange(n), np.arange(n)] = -np.inf
+    best = np.argpartition(-exact, k - 1, axis=1)[:, :k]
+    own = score[np.arange(n)[:, None], best]
+    place = (score[:, None, :] > own[:, :, None]).sum(2) + 1
+    return max(least, int(np.ceil(1.25 * np.quantile(place, TRIAL_SHARE) * CHUNK / len(rows))))
+
+
 def valid_vectors(df: DataFrame) -> DataFrame:
     """vec_id, embedding (array of double) of the rows that take part."""
     rows = pick(df, {"vec_id": "long", "embedding": "array<double>"})
@@ -98,14 +131,15 @@ def valid_vectors(df: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (dims[0].d if dims else 0))
 
 
-def build_index(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, np.ndarray | None]:
-    """Table (vec_id, embedding, codes, norm) of every valid row, and the codebooks."""
+def build_index(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, np.ndarray | None, np.ndarray | None]:
+    """Table (vec_id, embedding, codes, norm) of every valid row, the codebooks, and the sample's unit vectors."""
     rows = valid_vectors(df)
     # Rows whose hash falls into one of `every` classes: tasks send their share of the sample only.
     every = max(1, -(-rows.count() // sample_rows))
     some = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(every)) == 0)
     pandas = some.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(2 * sample_rows).toPandas()
-    books = fit_codebooks(unit(np.stack(pandas["embedding"].to_numpy()).astype(np.float64))) if len(pandas) else None
+    sample = unit(np.stack(pandas["embedding"].to_numpy()).astype(np.float64)) if len(pandas) else None
+    books = fit_codebooks(sample) if sample is not None else None
 
     def run(batches):
         import pyarrow as pa
@@ -118,8 +152,8 @@ def build_index(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFram
                 yield pa.RecordBatch.from_arrays([*c.columns, pa.array([r.tobytes() for r in codes], pa.binary()), pa.array(norm, pa.float32())], names=["vec_id", "embedding", "codes", "norm"])
 
     if books is None:
-        return rows.select("*", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("float").alias("norm")).limit(0), None
-    return materialise(rows.mapInArrow(run, "vec_id long, embedding array<double>, codes binary, norm float")), books
+        return rows.select("*", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("float").alias("norm")).limit(0), None, None
+    return materialise(rows.mapInArrow(run, "vec_id long, embedding array<double>, codes binary, norm float")), books, sample
 
 
 def _search_block(index: DataFrame, books: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, rerank: int) -> DataFrame:
@@ -129,7 +163,8 @@ def _search_block(index: DataFrame, books: np.ndarray, ids: np.ndarray, queries:
         import pyarrow as pa
 
         qid, full, short = sent.value
-        luts = np.einsum("qd,mcd->mqc", short, books).astype(np.float32)
+        luts = lookup_tables(short, books)
+        full_unit = unit(full)
         best = [np.empty(0, np.int64) for _ in range(3)]
 
         def top(q, i, s):
@@ -144,6 +179,13 @@ def _search_block(index: DataFrame, books: np.ndarray, ids: np.ndarray, queries:
             keep = np.arange(len(q)) - first < k
             return q[keep], i[keep], s[keep]
 
+        def ranked(rows, cand, vid, x):
+            """The k best of candidates by the exact cosine, never a query itself."""
+            exact = cosine(full[rows][:, None, :], x[cand])
+            q = np.broadcast_to(rows[:, None], cand.shape)
+            other = vid[cand] != qid[q]
+            return top(q[other], vid[cand][other], exact[other])
+
         def answer(vid, x, codes, norm):
             order = np.lexsort((vid,))
             vid, x, codes, norm = vid[order], x[order], codes[order], norm[order]
@@ -154,18 +196,25 @@ def _search_block(index: DataFrame, books: np.ndarray, ids: np.ndarray, queries:
             nth = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = np.sort(by[nth <= k])
             vid, x, codes, norm = vid[keep], x[keep], codes[keep], norm[keep]
+            r = min(-(-rerank * max(len(vid), CHUNK) // CHUNK), len(vid))
+            whole = r * 8 > len(vid) and r > FINALISTS  # so many that all cosines at once cost less
+            near_unit = unit(x) if whole else None
             found = []
             for a in range(0, len(qid), 256):
-                score = np.zeros((min(256, len(qid) - a), len(vid)), np.float32)
-                for m in range(len(books)):
-                    score += luts[m][a : a + 256][:, codes[:, m]]
-                score /= norm
-                r = min(rerank, len(vid))
+                score = code_scores(luts[:, a : a + 256], codes, norm)
                 cand = np.argpartition(-score, r - 1, axis=1)[:, :r] if r < len(vid) else np.broadcast_to(np.arange(len(vid)), score.shape)
-                exact = cosine(full[a : a + 256][:, None, :], x[cand])
-                q = np.broadcast_to(np.arange(a, a + len(score))[:, None], cand.shape)
-                own = vid[cand] == qid[q]
-                found.append(top(q[~own], vid[cand][~own], exact[~own]))
+                close = np.zeros(len(score), bool)
+                if whole:
+                    dots = np.take_along_axis(full_unit[a : a + 256] @ near_unit.T, cand, axis=1)
+                    order = np.argpartition(-dots, FINALISTS - 1, axis=1)[:, :FINALISTS]
+                    held = np.sort(np.take_along_axis(dots, order, axis=1), axis=1)
+                    close = held[:, 0] > held[:, -k - 1] - 1e-9  # too many alike: all candidates are compared
+                    found.append(ranked(a + np.nonzero(~close)[0], np.take_along_axis(cand, order, axis=1)[~close], vid, x))
+                rest = np.nonzero(close)[0] if whole else np.arange(len(score))
+                each = max(1, HELD_NUMBERS // (r * x.shape[1]))
+                for at in range(0, len(rest), each):
+                    some = rest[at : at + each]
+                    found.append(ranked(a + some, cand[some], vid, x))
             return [np.concatenate(z) for z in zip(*found)]
 
         held: list = []
@@ -197,13 +246,18 @@ def _search_block(index: DataFrame, books: np.ndarray, ids: np.ndarray, queries:
     return index.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
-def nearest(df: DataFrame, query_mod: int = 50, k: int = 5, rerank: int = RERANK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """The k nearest by cosine, of all other rows, for every row whose id is divisible by query_mod."""
+def nearest(df: DataFrame, query_mod: int = 50, k: int = 5, rerank: int | None = None, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """The k nearest by cosine, of all other rows, for every row whose id is divisible by query_mod.
+
+    rerank: candidates of a chunk that are compared exactly; None: as many as the sample asks for.
+    """
     spark = df.sparkSession
-    index, books = build_index(df)
+    index, books, sample = build_index(df)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if books is None:
         return empty
+    if rerank is None:
+        rerank = rerank_depth(sample, books, k)
     queries = index.where(F.col("vec_id") % query_mod == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     parts: list[DataFrame] = []
     ids: list[int] = []
