@@ -7,8 +7,8 @@ counted. Turns are marked by control strings; inside texts those are escaped, so
 Escaping: backslash becomes two; the first character of a control string, `<` or `[`, becomes `\\l` or `\\b`.
 
 Defined results: null text or role: empty; null parts: no parts; turns are ordered by turn (null first), then role,
-text; repeated rows are turns of their own; rows of the null conversation form one conversation; an empty table gives
-no conversations; other columns are ignored.
+text; repeated rows are turns of their own; rows of the null conversation form one conversation; very long texts stay
+whole, a conversation is one row; an empty table gives no conversations; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -96,7 +96,9 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
         lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), part_tokens(p).alias("tokens")),
     )
     head = F.concat(F.lit(OPEN), escape(F.col("t.role")), F.lit(SEP))
-    written = rows.select("conv_id", F.struct(F.col("t.turn").alias("turn"), F.col("t.role").alias("role"), body.alias("body"), head.alias("head"), extra.alias("extra")).alias("w"))
+    # Ties of turn and role go by what was said, not by how it is escaped.
+    said = F.array_join(F.transform("t.parts", lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    written = rows.select("conv_id", F.struct(F.col("t.turn").alias("turn"), F.col("t.role").alias("role"), said.alias("said"), body.alias("body"), head.alias("head"), extra.alias("extra")).alias("w"))
     grouped = written.groupBy("conv_id").agg(F.array_sort(F.collect_list("w")).alias("ws"))
     piece = lambda w: F.concat(w["head"], w["body"], F.lit(CLOSE))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("mask"))
@@ -117,20 +119,40 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
 
 def read_turns(formatted: Column) -> Column:
     """array<struct<role, text>> of a formatted conversation; placeholders stay in the text as written."""
+    return F.transform(_pieces(formatted), lambda w: F.struct(unescape(w["role"]).alias("role"), unescape(w["body"]).alias("text")))
+
+
+def _pieces(formatted: Column) -> Column:
+    """array<struct<role, body>> as written, still escaped."""
     whole = F.split(formatted, r"<\|turn\|>", -1)
     turns = F.slice(whole, 2, F.greatest(F.size(whole) - 1, F.lit(0)))
 
     def one(piece: Column) -> Column:
         cut = F.split(piece, r"<\|text\|>", 2)
         body = F.element_at(cut, 2)
-        return F.struct(
-            unescape(F.element_at(cut, 1)).alias("role"),
-            unescape(F.substring(body, F.lit(1), F.length(body) - len(CLOSE))).alias("text"),
-        )
+        return F.struct(F.element_at(cut, 1).alias("role"), F.substring(body, F.lit(1), F.length(body) - len(CLOSE)).alias("body"))
 
     return F.transform(turns, one)
 
 
+def read_parts(formatted: Column) -> Column:
+    """array<struct<role, parts: array<struct<type, text>>>>: a placeholder is a part of its type, with a null text.
+
+    Texts that say the same are escaped, so they are read as text. Neighbouring texts of a turn are one part.
+    """
+    kinds = "|".join(TOKENS_A_UNIT)
+    cut = "|".join([rf"(?=<\|(?:{kinds})\|>)", *[rf"(?<=<\|{k}\|>)" for k in TOKENS_A_UNIT]])
+
+    def part(piece: Column) -> Column:
+        kind = F.regexp_extract(piece, rf"^<\|({kinds})\|>$", 1)
+        return F.struct(F.when(kind != "", kind).otherwise("text").alias("type"), F.when(kind == "", unescape(piece)).alias("text"))
+
+    def parts(body: Column) -> Column:
+        return F.transform(F.filter(F.split(body, cut, -1), lambda x: x != ""), part)
+
+    return F.transform(_pieces(formatted), lambda w: F.struct(unescape(w["role"]).alias("role"), parts(w["body"]).alias("parts")))
+
+
 def read_loss(formatted: Column, mask: Column) -> Column:
     """All text under the mask, unescaped."""
     return F.array_join(F.transform(mask, lambda m: unescape(F.substring(formatted, (m["start"] + 1).cast("int"), (m["end"] - m["start"]).cast("int")))), "")
