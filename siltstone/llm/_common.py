@@ -60,10 +60,13 @@ def pick(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    A local folder stands in for it only where the setting is absent, as in tests on one machine.
+    Where the setting is absent, a local folder stands in for it on one machine, as in tests; a cluster needs the setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"{tempfile.gettempdir()}/checkpoints"
     return f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
 

@@ -262,7 +262,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_words: int =
     if more is None:
         found = _matches_of_block(flat, one)
         return found.withColumn("_row", F.monotonically_increasing_id()) if rows else found
-    # Several blocks: number the rows once, answer block after block, and merge the answers by row.
+    # Several blocks: every pass numbers the same rows alike (docs must be stable then), and answers merge by row.
     parts = [_matches_of_block(flat, one).withColumn("_row", F.monotonically_increasing_id())]
     while more is not None:
         parts.append(_matches_of_block(flat, more).withColumn("_row", F.monotonically_increasing_id()))
