@@ -11,7 +11,8 @@ among those of their length from counts of (input partition, length), so no leng
 sequence and offset in the plan, whose size is bounded by the number of lengths.
 
 Defined results: a null text is empty and gives one piece that holds the end id alone; null ids and repeated rows are
-packed like others; an empty table gives no pieces; other columns are ignored.
+packed like others; very long texts are cut into full sequences and a last piece; pieces of one length are alike, so ties
+go by place; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,7 +103,9 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.lower().split() if _is_latin(t) else None for t in texts]
+        # Judged in lower case: some capitals below U+0250 become letters beyond.
+        lower = [t.lower() for t in texts]
+        split = [t.split() if _is_latin(t) else None for t in lower]
         words = set().union(*[ws for ws in split if ws])
         self._learn([w for w in words if w not in self.ids] if len(self.ids) + len(words) <= CACHE_WORDS else list(words))
         get = self.ids.__getitem__
