@@ -343,7 +343,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
+    """Pieces with their ids and their places in sequences."""
+    return pack_documents(docs, keep_ids=True)
 
 
 QUERIES = {"op3_packing": op3_packing}
