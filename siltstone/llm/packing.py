@@ -32,8 +32,8 @@ from ._common import materialise, pick, table
 CAPACITY = 4096
 END_ID = 1
 ROUNDS = 24
-#: Entries of a worker's word cache, emptied when full.
-CACHE_WORDS = 300_000
+#: Entries of a generation of a worker's word cache; there are two at most, of words and of their parts.
+CACHE_WORDS = 250_000
 #: Texts that are looked at together for new words, in characters.
 GROUP_CHARS = 2_000_000
 
@@ -70,6 +70,23 @@ def _is_latin(text: str) -> bool:
     return b"<|" not in raw and not any(c in raw for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))
 
 
+class _Kept(dict):
+    """Values by key, made when first asked for; a full generation makes room, and keys that are asked for again stay."""
+
+    def __init__(self, make):
+        self.make, self.before = make, {}
+
+    def __missing__(self, key):
+        if len(self) >= CACHE_WORDS:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class WordIds:
     """Ids of texts. The tokenizer drops white space and never joins words across it, so ids of words are kept."""
 
@@ -80,36 +97,27 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.ids: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Kept(self._part)
+        self.ids = _Kept(self._word)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
         mapped = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
-        got = self.parts[part] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-        return got
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.ids) + len(words) > CACHE_WORDS:
-            self.ids.clear()
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        known, part = self.parts.get, self._part
-        for w in words:
-            if w not in self.ids:
-                self.ids[w] = b"".join([known(p) or part(p) for p in _CUT.findall(w)])
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        cut = _CUT.findall(word)
+        return self._part(word) if len(cut) == 1 else b"".join(map(self.parts.__getitem__, cut))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        # Judged in lower case: some capitals below U+0250 become letters beyond.
-        lower = [t.lower() for t in texts]
-        split = [t.split() if _is_latin(t) else None for t in lower]
-        words = set().union(*[ws for ws in split if ws])
-        self._learn([w for w in words if w not in self.ids] if len(self.ids) + len(words) <= CACHE_WORDS else list(words))
-        get = self.ids.__getitem__
-        return [self._whole(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
+        get, out = self.ids.__getitem__, []
+        for t in texts:
+            lower = t.lower()  # judged in lower case: some capitals below U+0250 become letters beyond
+            out.append(b"".join(map(get, lower.split())) if _is_latin(lower) else self._whole(t))
+        return out
 
 
 _WORKER: dict[str, WordIds] = {}
