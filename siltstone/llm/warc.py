@@ -215,7 +215,8 @@ def _page_of(urn: Column) -> Column:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     write_archive(table(spark, sf_dir, "pages"), path, stable=True)
-    captures = assemble(read_archive(spark, path, payloads=False))
+    # Parsed once: assembly looks at the records three times.
+    captures = assemble(materialise(read_archive(spark, path, payloads=False)))
     return captures.select(
         _page_of("response.record_id").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
