@@ -13,13 +13,13 @@ from .errors import OptionError, TableError
 from .operators.binder import bind, bound_columns, empty, open_files, arrow_fields, _special
 from .operators.statistics import column_statistics, every_nth
 from .plans.planner import EngineConf, FilePlan, ScanPlan, choose_reader, constants, disjoint_in_order, needed_order, prune, usable_order
-from .plans.predicates import Predicate, _comparable, extract
+from .plans.predicates import Predicate, _comparable, extract, scans
 from .sources.footer import Footer, lower, read_footers
 
 #: A file up to this size is sorted in one task, in its own order; larger ones go through a range exchange.
 ONE_TASK_BYTES = 256 << 20
-#: Files that an ordered concatenation may have; each is a scan of its own in the plan.
-CONCAT_FILES = 256
+#: Files that an ordered concatenation may have; each is a scan of its own in the plan. Small ones are one scan and task.
+CONCAT_FILES, SMALL_BYTES = 256, 64 << 20
 
 
 def asc(keys: list[str]) -> list[Column]:
@@ -27,6 +27,11 @@ def asc(keys: list[str]) -> list[Column]:
     return [F.col(k).asc_nulls_last() for k in keys]
 
 
+def _plain_path(path: str) -> str:
+    """A path as it is compared: local ones without their scheme."""
+    return re.sub(r"^file:/+", "/", path)
+
+
 class Engine(Catalog):
     def __init__(self, spark: SparkSession, conf: EngineConf | None = None):
         super().__init__(spark)
@@ -156,6 +161,8 @@ class Engine(Catalog):
         if small and len(keep) == 1 and len(plan.order) == len(need):
             return self._filter(bind(self.spark, keep, list(table.columns)), table, where).coalesce(1).sortWithinPartitions(*asc(need))
         in_order = table.options.files_in_order and plan.order and len(keep) <= CONCAT_FILES
+        if small and in_order and sum(f.size for f in footers) <= SMALL_BYTES:
+            return self.table(name, where).coalesce(1).sortWithinPartitions(*asc(need))
         if small and in_order and disjoint_in_order(footers, need[0]):
             parts = [self._filter(bind(self.spark, [x], list(table.columns)), table, where).coalesce(1).sortWithinPartitions(*asc(need)) for x in keep]
             return reduce(lambda a, b: a.union(b), parts)
@@ -180,12 +187,44 @@ class Engine(Catalog):
         return True
 
     def sql(self, query: str, args: dict | list | None = None) -> DataFrame:
-        """A statement over declared tables; those that it names are listed anew and registered as views."""
+        """A statement over declared tables; those that it names are listed anew and registered as views.
+
+        What Spark's optimiser makes of the statement, parameters included, says what each scan is filtered by. Files
+        that no scan needs by their statistics, and partitions with nothing but such files, are left out of the views.
+        """
         words = {w.lower() for w in re.findall(r"\w+", query)}
-        for name in [*self.tables, *self.parents]:
-            if name.lower() in words:
-                self.table(name).createOrReplaceTempView(name)
-        return self.spark.sql(query, args=args) if args is not None else self.spark.sql(query)
+        named = [n for n in [*self.tables, *self.parents] if n.lower() in words]
+        leaves = dict.fromkeys(c for n in named for c in ([k for _, _, k in self.parents[n].children] if n in self.parents else [n]))
+        listed = {n: self._footers(self.get(n)) for n in leaves}
+
+        def run() -> DataFrame:
+            for n in named:
+                if n in self.parents:
+                    kids = [c for _, _, c in self.parents[n].children]
+                    live = [c for c in kids if listed[c]] or kids[:1]
+                    df = reduce(lambda a, b: a.unionByName(b), [self._bound(c, listed[c]) for c in live])
+                else:
+                    df = self._bound(n, listed[n])
+                df.createOrReplaceTempView(n)
+            return self.spark.sql(query, args=args) if args is not None else self.spark.sql(query)
+
+        df = run()
+        footers = {_plain_path(p): f for files in listed.values() for p, f in files}
+        seen: set[str] = set()
+        needed: set[str] = set()
+        for paths, predicates in scans(df._jdf.queryExecution().optimizedPlan()):
+            own = [p for p in map(_plain_path, paths) if p in footers]
+            seen.update(own)
+            needed.update(f.path for f in prune([(p, footers[p]) for p in own], predicates) if f.groups is None or f.groups)
+        idle = seen - needed
+        if idle:
+            listed = {n: [x for x in files if _plain_path(x[0]) not in idle] for n, files in listed.items()}
+            df = run()
+        return df
+
+    def _bound(self, name: str, files: list[tuple[str, Footer | None]]) -> DataFrame:
+        columns = list(self.get(name).columns)
+        return bind(self.spark, files, columns) if files else empty(self.spark, columns)
 
     # -- explanations and statistics --------------------------------------------------------------------------------
 
@@ -214,12 +253,17 @@ class Engine(Catalog):
             return empty(self.spark, list(table.columns))
         counts = [f.rows if f is not None else self.spark.read.parquet(p).count() for p, f in footers]
         ratio = max(1, sum(counts) // target)
-        parts, before = [], 0
+        groups: dict[tuple | None, list[tuple[str, int]]] = {}
+        before = 0
         for (path, footer), n in zip(footers, counts):
-            fields = arrow_fields(footer) if footer else None
-            df = open_files(self.spark, [path], fields)
+            key = arrow_fields(footer) if footer else (path,)
+            groups.setdefault(key, []).append((path, before))
+            before += n
+        parts = []
+        for key, files in groups.items():
+            fields = key if key and isinstance(key[0], tuple) else None
+            df = open_files(self.spark, [p for p, _ in files], fields)
             nanos = _special(fields)[1] if fields else set()
             cols = bound_columns(df, list(table.columns), nanos)
-            parts.append((df.select(*cols, F.col("_metadata.row_index").alias("_row")), before))
-            before += n
+            parts.append((df.select(*cols, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")), files))
         return every_nth(parts, ratio)

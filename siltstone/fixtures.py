@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 
+from .sources.options import local_path
+
 VERSION = 1
 
 
@@ -102,11 +104,27 @@ def import_dir(src: str, out: str) -> None:
 MAKERS: dict[str, Callable[[str, str], None]] = {f.__name__: f for f in (order_groups, order_slices, order_mixed, order_missing, order_years, customer_types, part_upper, label_flags, event_maps, import_dir)}
 
 
+def _shared() -> str:
+    """The folder that driver and executors share, as a local path; the temp folder where it is unset, on one machine."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    base = spark.conf.get("spark.checkpoint.dir", None) if spark else None
+    if base:
+        local = local_path(base)
+        if local is None:
+            raise RuntimeError(f"derived inputs are written through local paths, and {base} is none")
+        return local
+    if spark and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.gettempdir()
+
+
 def derived(sf_dir: str, name: str) -> str:
     """The folder of a derived input, made once for each version of the data."""
     stamp = [(n, os.stat(f"{sf_dir}/{n}").st_size, os.stat(f"{sf_dir}/{n}").st_mtime_ns) for n in sorted(os.listdir(sf_dir))]
     key = hashlib.sha1(json.dumps([VERSION, os.path.realpath(sf_dir), stamp]).encode()).hexdigest()[:16]
-    root = os.path.join(tempfile.gettempdir(), f"siltstone-{os.getuid()}", key)
+    root = os.path.join(_shared(), f"siltstone-{os.getuid()}", key)
     out = os.path.join(root, name)
     if not os.path.isdir(out):
         os.makedirs(root, exist_ok=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .engine import Engine
@@ -115,6 +115,13 @@ def _(spark, d):
     )
 
 
+@query("prepared_prune", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1997-06-01 00:00:00' AND o_orderkey > 7000")
+def _(spark, d):
+    return over(spark, d, "order_slices", TABLES["orders"]).sql(
+        "SELECT o_orderkey, o_totalprice FROM t WHERE o_orderdate < cast(:day AS timestamp_ntz) AND o_orderkey > :k", {"day": "1997-06-01", "k": 7000}
+    )
+
+
 # -- several files, binding, casts ---------------------------------------------------------------------------------------
 @query("multifile_seq", "SELECT * FROM orders")
 def _(spark, d):
@@ -206,6 +213,20 @@ def _(spark, d):
     return e.sql("SELECT event_id, cast(get_json_object(m, '$.click') AS bigint) AS user_id FROM t WHERE get_json_object(m, '$.click') IS NOT NULL")
 
 
+@query("map_functions", "SELECT event_id, event_type AS k, user_id AS v, user_id AS at, CAST(1 AS INTEGER) AS n FROM events")
+def _(spark, d):
+    from pyspark.sql import types as T
+
+    e = over(spark, d, "event_maps", [("event_id", "int8"), ("m", T.MapType(T.StringType(), T.LongType()))])
+    return e.sql("SELECT event_id, map_keys(m)[0] AS k, map_values(m)[0] AS v, element_at(m, map_keys(m)[0]) AS at, size(m) AS n FROM t")
+
+
+statement(
+    "list_elements",
+    "embeddings",
+    "SELECT vec_id, p, cast(e AS double) AS e FROM embeddings LATERAL VIEW posexplode(embedding) x AS p, e",
+    "SELECT vec_id, CAST(p - 1 AS INTEGER) AS p, CAST(embedding[p] AS DOUBLE) AS e FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS p FROM embeddings)",
+)
 statement(
     "json_props",
     "events",
@@ -250,6 +271,39 @@ TOP = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l
 statement("topk", "lineitem", TOP)
 statement("limit_offset", "orders", "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 25")
 
+
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """One row: how many rows df has, and how many neighbours in its order are out of the order of keys, nulls last."""
+    key = F.struct(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))]).alias("key")
+    rows = df.select(key, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    inside = rows.select("*", F.lag("key").over(Window.partitionBy("part").orderBy("place")).alias("before"))
+    ends = inside.groupBy("part").agg(
+        F.count("*").alias("n"), F.count_if(F.col("before") > F.col("key")).alias("wrong"), F.min_by("key", "place").alias("first"), F.max_by("key", "place").alias("last")
+    )
+    across = ends.select("n", "wrong", (F.lag("last").over(Window.orderBy("part")) > F.col("first")).alias("cut"))
+    return across.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("wrong") + F.coalesce(F.col("cut").cast("long"), F.lit(0))), F.lit(0)).alias("out_of_order"))
+
+
+def ordered(name: str, of: str, condition: str, *keys: str) -> None:
+    """The order of another query's rows; of its columns those that it is sorted by are asked for."""
+    query(name, f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM {of} WHERE {condition}")(lambda spark, d: in_order(QUERIES[name.removesuffix("_order")](spark, d), *keys))
+
+
+ordered("merge_sorted_order", "orders", "true", "o_orderkey")
+ordered("merge_sorted_limited_order", "orders", "o_custkey > 50", "o_orderkey")
+ordered("ordered_concat_order", "orders", "true", "o_orderkey")
+ordered("ordered_single_order", "orders", "o_custkey < 500", "o_orderkey")
+ordered("sort_multi_key_order", "lineitem", "l_quantity > 45", "l_orderkey", "l_linenumber")
+ordered("partition_ordered_order", "orders", "o_custkey < 300", "o_orderdate", "o_orderkey")
+
+
+@query("sort_prefix_order", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM orders")
+def _(spark, d):
+    """Files in order by the first key only: the second is sorted on top."""
+    e = over(spark, d, "order_slices", TABLES["orders"], sorted="o_orderkey", files_in_order="true")
+    return in_order(e.ordered_scan("t", ["o_orderkey", "o_totalprice"]), "o_orderkey", "o_totalprice")
+
+
 # -- joins ------------------------------------------------------------------------------------------------------------
 statement("theta_self_join", "nation", "SELECT a.n_nationkey AS x, b.n_nationkey AS y FROM nation a, (SELECT * FROM nation) b WHERE a.n_nationkey < b.n_nationkey")
 statement("equi_join", "orders customer", "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -263,6 +317,24 @@ statement("star_join", "lineitem orders customer nation", """
 SELECT n_name, cast(count(*) AS bigint) AS n, sum(l_quantity) AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 
+statement("right_join", "orders customer", "SELECT o_orderkey, c_custkey FROM (SELECT * FROM orders WHERE o_totalprice > 300000) o RIGHT JOIN customer ON o_custkey = c_custkey")
+statement("cross_join", "nation region", "SELECT n_nationkey, r_regionkey FROM nation CROSS JOIN region")
+statement(
+    "asof_join",
+    "orders",
+    """
+SELECT o_orderkey, prev FROM (
+  SELECT o_orderkey, kind, last(if(kind = 0, k, NULL), true) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, kind, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev
+  FROM (
+    SELECT o_custkey, o_orderdate, o_orderkey, 0 AS kind, o_orderkey AS k FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT o_custkey, o_orderdate, o_orderkey, 1 AS kind, NULL AS k FROM orders WHERE o_orderstatus <> 'F'
+  ) u
+) w WHERE kind = 1""",
+    """
+SELECT l.o_orderkey, (SELECT r.o_orderkey FROM orders r WHERE r.o_orderstatus = 'F' AND r.o_custkey = l.o_custkey AND r.o_orderdate <= l.o_orderdate ORDER BY r.o_orderdate DESC, r.o_orderkey DESC LIMIT 1) AS prev
+FROM orders l WHERE l.o_orderstatus <> 'F'""",
+)
+
 # -- aggregates -------------------------------------------------------------------------------------------------------
 statement("sum_parallel", "lineitem", "SELECT cast(sum(l_orderkey) AS bigint) AS s FROM lineitem")
 statement("group_max", "lineitem", "SELECT l_suppkey, max(l_quantity) AS m, min(l_shipdate) AS d FROM lineitem GROUP BY l_suppkey")
@@ -287,6 +359,23 @@ SELECT l_suppkey, max(m) AS m FROM (SELECT l_suppkey, max(l_quantity) OVER (PART
 FROM lineitem WHERE l_linenumber = 1 AND l_suppkey BETWEEN 1 AND 50) t GROUP BY l_suppkey ORDER BY l_suppkey""")
 statement("window_rank", "orders", "SELECT o_orderkey, row_number() OVER w AS rn, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS dr, lag(o_orderkey) OVER w AS before FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)")
 QUERIES["window_rank"] = lambda spark, d: engine(spark, d, "orders").sql(ORACLES["window_rank"]).withColumn("rn", F.col("rn").cast("long")).withColumn("dr", F.col("dr").cast("long"))
+statement(
+    "window_analytic",
+    "orders",
+    """SELECT o_orderkey, lead(o_orderkey) OVER w AS next, first_value(o_orderkey) OVER w AS first, last_value(o_orderkey) OVER f AS last, nth_value(o_orderkey, 2) OVER f AS second,
+cast(ntile(3) OVER w AS bigint) AS tile, cast(rank() OVER w AS bigint) AS r, percent_rank() OVER w AS pr, cume_dist() OVER w AS cd
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey), f AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+)
+statement("window_range", "part", "SELECT p_partkey, count(*) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS n FROM part")
+statement("set_except_all", "customer supplier", "SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey AS k FROM supplier")
+statement("set_intersect_all", "customer supplier", "SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey AS k FROM supplier")
+statement(
+    "approx_aggregates",
+    "lineitem",
+    """SELECT abs(approx_count_distinct(l_suppkey, 0.02) - count(DISTINCT l_suppkey)) <= 0.1 * count(DISTINCT l_suppkey) AS near_count,
+abs(percentile_approx(l_extendedprice, 0.5, 1000) - median(l_extendedprice)) <= 0.02 * median(l_extendedprice) AS near_median FROM lineitem""",
+    "SELECT true AS near_count, true AS near_median",
+)
 statement("set_union", "customer supplier", "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey AS k FROM supplier")
 statement("set_intersect", "customer supplier", "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey AS k FROM supplier")
 statement("set_except", "customer supplier", "SELECT c_custkey AS k FROM customer EXCEPT SELECT s_suppkey AS k FROM supplier")
@@ -327,6 +416,11 @@ def _(spark, d):
     return years(spark, d).table("p", "o_orderdate >= timestamp_ntz'1994-01-01' AND o_orderdate < timestamp_ntz'1996-02-01'", ["o_orderkey", "o_totalprice"])
 
 
+@query("partition_prune_sql", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01' GROUP BY o_orderstatus")
+def _(spark, d):
+    return years(spark, d).sql("SELECT o_orderstatus, count(*) AS n FROM p WHERE o_orderdate >= timestamp_ntz'1996-01-01' AND o_orderdate < timestamp_ntz'1997-01-01' GROUP BY o_orderstatus")
+
+
 @query("partition_ordered", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_custkey < 300")
 def _(spark, d):
     return years(spark, d).ordered_scan("p", ["o_orderdate", "o_orderkey"], "o_custkey < 300").select("o_orderkey", "o_orderdate")
@@ -399,6 +493,42 @@ def _(spark, d):
     return over(spark, d, "order_slices", columns).analyze("t", exact_distinct=True)
 
 
+@query("analyze_approximate", "SELECT column_name, row_count, null_count, true AS near, min_value, max_value FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders"
+    for c in TABLES["orders"] if c != "o_totalprice"
+) + ")")
+def _(spark, d):
+    """The default of analyze: distinct counts within a tenth of the exact ones."""
+    columns = {k: v for k, v in TABLES["orders"].items() if k != "o_totalprice"}
+    e = over(spark, d, "order_slices", columns)
+    exact = e.analyze("t", exact_distinct=True).select("column_name", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.1 * F.col("exact")
+    return e.analyze("t").join(exact, "column_name").select("column_name", "row_count", "null_count", near.alias("near"), "min_value", "max_value")
+
+
+@query("explain_skipped", """WITH r AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // ((count(*) OVER () + 7) // 8) AS g FROM orders)
+SELECT CAST(g + 1 AS INTEGER) AS row_group FROM r GROUP BY g HAVING NOT (min(o_orderkey) < 9000 AND max(o_orderkey) >= 4000)""")
+def _(spark, d):
+    plan = over(spark, d, "order_groups", TABLES["orders"]).plan("t", "o_orderkey < 9000 AND o_orderkey >= 4000")
+    return spark.createDataFrame([(g,) for f in plan.files for g in f.skipped], "row_group int")
+
+
+@query("plan_rows", "SELECT CAST(coalesce(sum(n) FILTER (WHERE lo < 9000 AND hi >= 4000), 0) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS total_rows FROM (SELECT count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // ((count(*) OVER () + 7) // 8) AS g FROM orders) GROUP BY g)")
+def _(spark, d):
+    """Rows that the plan expects, from the footers."""
+    plan = over(spark, d, "order_groups", TABLES["orders"]).plan("t", "o_orderkey < 9000 AND o_orderkey >= 4000")
+    return spark.createDataFrame([(plan.rows, plan.total_rows)], "rows long, total_rows long")
+
+
+@query("alter_options", "SELECT o_orderkey FROM orders WHERE o_orderkey < 300")
+def _(spark, d):
+    """A table whose options change: order declared and dropped, hints for input and output, the limit on open files."""
+    e = over(spark, d, "order_slices", TABLES["orders"])
+    e.alter_table("t", add={"sorted": "o_orderkey", "use_mmap": "true", "use_threads": "false", "max_open_files": "2"})
+    e.alter_table("t", set={"max_open_files": "1"}, drop=["use_mmap"])
+    return e.ordered_scan("t", ["o_orderkey"], "o_orderkey < 300").select("o_orderkey")
+
+
 @query("sample_rows", "SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS r, count(*) OVER () // 100 AS k FROM orders) WHERE r % greatest(k, 1) = 0")
 def _(spark, d):
     return over(spark, d, "order_slices", TABLES["orders"]).sample("t", 100).select("o_orderkey", "o_totalprice")

@@ -38,6 +38,7 @@ def _write(path, schema, groups):
 @pytest.fixture(scope="session")
 def files(tmp_path_factory):
     """Small files: two simple ones (lists, all kinds of scalars, two row groups), maps, two monthly parts."""
+    # Names, rows and row groups below are fixed values: known results are asserted over them.
     out = tmp_path_factory.mktemp("files")
     day = lambda d, *t: dt.datetime(2018, 1, d, *t)
     base = [("one", pa.int64()), ("two", pa.list_(pa.int64())), ("three", pa.string()), ("four", pa.timestamp("us")), ("five", pa.date32()), ("six", pa.bool_())]
