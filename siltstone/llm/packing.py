@@ -33,7 +33,7 @@ CAPACITY = 4096
 END_ID = 1
 ROUNDS = 24
 #: Entries of a generation of a worker's word cache; there are two at most, of words and of their parts.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 #: Texts that are looked at together for new words, in characters.
 GROUP_CHARS = 2_000_000
 
