@@ -36,7 +36,7 @@ def test_query(spark, duck, name):
     assert plain([r[c] for c in cols] for r in df.collect()) == plain([r[names.index(c)] for c in cols] for r in want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["list_column", "list_contains", "list_elem_access", "list_elem_cast"])
+@pytest.mark.parametrize("name", ["list_column", "list_contains", "list_elem_access", "list_elem_cast", "list_elements"])
 def test_query_over_a_directory(spark, duck, tmp_path, name):
     t = pq.read_table(f"{DATA}/embeddings.parquet")
     (tmp_path / "embeddings.parquet").mkdir()
