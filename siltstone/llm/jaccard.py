@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import discard, materialise, pick, shared_dir, table, tidy
+from ._common import discard, materialise, pick, releasing, shared_dir, table, tidy
 from .graph import components
 
 WORDS = 5
@@ -213,7 +213,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
                 part = np.minimum(part, 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_pylist([{"chunk": k, "cells": part.tobytes()}], schema=kind)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sid long, chunk int, cells binary")
+    return docs.mapInArrow(releasing(run), "doc_id long, n long, sid long, chunk int, cells binary")
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -230,7 +230,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "cells": pa.array([np.minimum(c, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())})
 
     out = np.zeros(CELLS, np.int32)
-    for r in rows.select("chunk", "cells").repartition(CELLS // CHUNK, "chunk").mapInArrow(add, "chunk int, cells binary").toLocalIterator():
+    for r in rows.select("chunk", "cells").repartition(CELLS // CHUNK, "chunk").mapInArrow(releasing(add), "chunk int, cells binary").toLocalIterator():
         out[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(bytes(r.cells), np.int32)
     return out
 
@@ -323,7 +323,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, bits: int) -> DataFrame:
         if out:
             yield answer(out)
 
-    return docs.mapInArrow(run, "block int, home int, hot boolean, token binary, sid binary, l binary, behind binary")
+    return docs.mapInArrow(releasing(run), "block int, home int, hot boolean, token binary, sid binary, l binary, behind binary")
 
 
 def _several(runs: DataFrame, bits: int) -> DataFrame:
@@ -368,7 +368,7 @@ def _several(runs: DataFrame, bits: int) -> DataFrame:
             yield from close()
 
     parts = max(_tasks(runs.sparkSession), (1 << bits) // 8)
-    return runs.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(run, "token long, sid long, l short, behind short")
+    return runs.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(releasing(run), "token long, sid long, l short, behind short")
 
 
 def _tasks(spark) -> int:
@@ -406,7 +406,7 @@ def _bitmap(ids: DataFrame, n: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "bits": pa.array([np.packbits(x).tobytes()], pa.binary())})
 
     out = np.zeros(bits // 8, np.uint8)
-    rows = ids.mapInArrow(place, "chunk int, at int").repartition(min(bits // chunk, 64), "chunk").mapInArrow(fill, "chunk int, bits binary")
+    rows = ids.mapInArrow(releasing(place), "chunk int, at int").repartition(min(bits // chunk, 64), "chunk").mapInArrow(releasing(fill), "chunk int, bits binary")
     for r in rows.toLocalIterator():
         out[r.chunk * chunk // 8 : (r.chunk + 1) * chunk // 8] = np.frombuffer(bytes(r.bits), np.uint8)
     return out
@@ -436,7 +436,7 @@ class Sets:
                 out = list(shingle_sets(b.column(1).filter(pa.array(hit == 1))))
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in out], pa.int64()), pa.array([len(s) for s in out], pa.int32()), pa.array([to_planes(s >> np.uint64(16), 6) for s in out], pa.binary())], names=["sid", "size", "tokens"])
 
-        found = docs.mapInArrow(run, "sid long, size int, tokens binary").repartition(self.buckets, "sid")
+        found = docs.mapInArrow(releasing(run), "sid long, size int, tokens binary").repartition(self.buckets, "sid")
         exact = found.join(wanted.select("sid").hint("shuffle_hash"), "sid", "left_semi").dropDuplicates(["sid"])
         with tidy(spark):
             exact.write.bucketBy(self.buckets, "sid").option("path", self.path).saveAsTable(self.name)
@@ -474,7 +474,7 @@ class Sets:
         mine = pairs.select("a", "b", "copy").join(sent.hint("merge"), ["b", "copy"])
         own = self.table().select(F.col("sid").alias("a"), F.col("size").alias("n"), F.col("tokens").alias("x"))
         both = mine.join(own.hint("merge"), "a").select("a", "b", "n", "m", "x", "y")
-        out = materialise(both.mapInArrow(run, "a long, b long"))
+        out = materialise(both.mapInArrow(releasing(run), "a long, b long"))
         discard(pairs)
         return out
 

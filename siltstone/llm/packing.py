@@ -27,13 +27,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, pick, table
+from ._common import materialise, pick, releasing, table
 
 CAPACITY = 4096
 END_ID = 1
 ROUNDS = 24
 #: Entries of a generation of a worker's word cache; there are two at most, of words and of their parts.
 CACHE_WORDS = 200_000
+#: The same where the ids are kept, as in the pipeline: more is held beside it there, and time is not short.
+CACHE_WORDS_WITH_IDS = 50_000
 #: Texts that are looked at together for new words, in characters.
 GROUP_CHARS = 2_000_000
 
@@ -73,11 +75,11 @@ def _is_latin(text: str) -> bool:
 class _Kept(dict):
     """Values by key, made when first asked for; a full generation makes room, and keys that are asked for again stay."""
 
-    def __init__(self, make):
-        self.make, self.before = make, {}
+    def __init__(self, make, most: int | None = None):
+        self.make, self.most, self.before = make, most, {}
 
     def __missing__(self, key):
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= (self.most or CACHE_WORDS):
             self.before = dict(self)
             self.clear()
         value = self.before.get(key)
@@ -90,15 +92,15 @@ class _Kept(dict):
 class WordIds:
     """Ids of texts. The tokenizer drops white space and never joins words across it, so ids of words are kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.parts = _Kept(self._part)
-        self.ids = _Kept(self._word)
+        self.parts = _Kept(self._part, most)
+        self.ids = _Kept(self._word, most)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -120,26 +122,28 @@ class WordIds:
         return out
 
 
-_WORKER: dict[str, WordIds] = {}
+_WORKER: dict[tuple[str, int | None], WordIds] = {}
 
 
-def worker_tokenizer(path: str) -> WordIds:
-    """One tokenizer, with its cache, for each Python worker."""
-    if path not in _WORKER:
-        _WORKER[path] = WordIds(path)
-    return _WORKER[path]
+def worker_tokenizer(path: str, most: int | None = None) -> WordIds:
+    """One tokenizer, with its cache, for each Python worker; another one takes its place."""
+    if (path, most) not in _WORKER:
+        _WORKER.clear()
+        _WORKER[path, most] = WordIds(path, most)
+    return _WORKER[path, most]
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, part and nth (its rank in the task's length class)."""
     path = tokenizer or default_tokenizer()
+    most = CACHE_WORDS_WITH_IDS if keep_ids else None
 
     def run(batches):
         from pyspark import TaskContext
         import pyarrow as pa
 
         part = TaskContext.get().partitionId()
-        tok = worker_tokenizer(path)
+        tok = worker_tokenizer(path, most)
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"] + ["ids"] * keep_ids
@@ -172,7 +176,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 yield answer(keys, texts)
 
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long" + ", ids array<int>" * keep_ids
-    return pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, kind)
+    return pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(releasing(run), kind)
 
 
 def knapsack(sizes: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -338,7 +342,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Data
 
     order = dict(cut.dtypes)
     kind = ", ".join(f"{n} {order[n]}" for n in names) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(run, kind)
+    return ranked.mapInArrow(releasing(run), kind)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

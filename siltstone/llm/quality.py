@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import crc32_text, materialise, pick, table
+from ._common import crc32_text, materialise, pick, releasing, table
 
 #: Random features; a partition sums FEATURES x FEATURES doubles.
 FEATURES = 192
@@ -103,7 +103,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             stats = [statistics(t.as_py()) for t in texts]
             yield pa.RecordBatch.from_arrays([ids, pa.array(stats, pa.list_(pa.float64()))], names=["doc_id", "stats"])
 
-    return pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, "doc_id long, stats array<double>")
+    return pick(docs, {"doc_id": "long", "text": "string"}).mapInArrow(releasing(run), "doc_id long, stats array<double>")
 
 
 def _matrix(column) -> np.ndarray:
@@ -158,8 +158,8 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", held_out_mo
             yield pa.RecordBatch.from_pydict({"m": pa.array([total.tobytes()], pa.binary()), "n": pa.array([n], pa.int64())})
 
     kind = "m binary, n long"
-    part = rows.where(~F.col("calibrate")).select("stats", "y").mapInArrow(sums, kind)
-    got = part.repartition(SUMS).mapInArrow(add, kind).collect()
+    part = rows.where(~F.col("calibrate")).select("stats", "y").mapInArrow(releasing(sums), kind)
+    got = part.repartition(SUMS).mapInArrow(releasing(add), kind).collect()
     if not got:
         return None
     total = sum(np.frombuffer(bytes(r.m)) for r in got).reshape(FEATURES + 1, FEATURES)
@@ -178,7 +178,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", held_out_mo
         at = np.nonzero(acc[0])[0]
         yield pa.RecordBatch.from_pydict({"bin": pa.array(at.astype(np.int32)), "w": pa.array(acc[0][at]), "y": pa.array(acc[1][at])})
 
-    rows2 = rows.where(F.col("calibrate")).select("stats", "y").mapInArrow(bins, "bin int, w double, y double")
+    rows2 = rows.where(F.col("calibrate")).select("stats", "y").mapInArrow(releasing(bins), "bin int, w double, y double")
     hist = sorted(rows2.groupBy("bin").agg(F.sum("w").alias("w"), F.sum("y").alias("y")).collect())
     if not hist:
         return weights, np.array([-1.0, 2.0]), np.array([0.0, 1.0])
@@ -207,7 +207,7 @@ def score(stats: DataFrame, model) -> DataFrame:
             s = scores(_matrix(b.column(1)), model)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id long, score double")
+    return stats.mapInArrow(releasing(run), "doc_id long, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -232,7 +232,7 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
             s = scores(np.array([statistics(t.as_py()) for t in b.column(at)]).reshape(-1, STATS), model)
             yield b.filter(pa.array(s >= threshold, pa.bool_()))
 
-    return flat.mapInArrow(run, flat.schema).toDF(*names)
+    return flat.mapInArrow(releasing(run), flat.schema).toDF(*names)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

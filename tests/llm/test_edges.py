@@ -239,3 +239,41 @@ def test_discarded_tables_are_gone(spark):
     assert t.count() == 3 and os.path.isdir(t._stored)
     discard(t, None, spark.range(1))
     assert not os.path.exists(t._stored)
+
+
+def test_workers_give_free_memory_back():
+    import re
+    from pathlib import Path
+
+    from siltstone.llm._common import releasing
+
+    def held():
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    def run(batches):
+        for b in batches:
+            held_back = [bytearray(1000) for _ in range(200_000)]
+            kept.append(held_back[::1000])  # small rests keep the rest from going by itself
+            yield b
+
+    kept = []
+    before = held()
+    plain = list(run(iter([1, 2])))
+    grown = held() - before
+    assert list(releasing(run)(iter([1, 2]))) == plain
+    assert grown > 100 and held() - before < 50
+
+
+def test_packing_with_ids_keeps_fewer_words(spark, monkeypatch):
+    path = packing.default_tokenizer()
+    texts = [f"word{i} w{i}-x{i} {i}" for i in range(300)] * 2
+    few, all_ = packing.WordIds(path, 20), packing.WordIds(path)
+    assert few.encode(texts) == all_.encode(texts)
+    assert max(len(k) for c in (few.ids, few.parts) for k in (c, c.before)) <= 20 < len(all_.ids)
+    monkeypatch.setattr(packing, "CACHE_WORDS_WITH_IDS", 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = packing.stage(spark, docs, "").collect()
+    own = all_.encode(texts)
+    assert {r.doc_id: np.array(r.ids, "<u4").tobytes() for r in got} == {i: x + b"\1\0\0\0" for i, x in enumerate(own)}
+    assert packing.worker_tokenizer(path, 20) is packing.worker_tokenizer(path, 20)
+    assert packing.worker_tokenizer(path).ids.most is None and len(packing._WORKER) == 1
