@@ -182,7 +182,7 @@ statement(
 statement(
     "list_contains",
     "embeddings",
-    "SELECT vec_id, array_contains(embedding, element_at(embedding, -1)) AS has FROM embeddings",
+    "SELECT vec_id, array_contains(embedding, try_element_at(embedding, -1)) AS has FROM embeddings",
     "SELECT vec_id, list_contains(embedding, embedding[-1]) AS has FROM embeddings",
 )
 

@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -47,3 +48,21 @@ def test_query_over_a_directory(spark, duck, tmp_path, name):
     want = duck.execute(ORACLES[name])
     names = [d[0] for d in want.description]
     assert plain([r[c] for c in names] for r in df.collect()) == plain(want.fetchall())
+
+
+#: Null, empty and short lists, null and non-finite elements, and as many elements as the queries name, or more.
+LISTS = [None, [], [None], [1.5], [1.5, None], [None, 2.5], [1.0, 2.0, 1.0], [1.0, None, 3.0, None], [1.0, 2.0, 3.0, 4.0, 5.0], [math.nan], [math.nan, math.inf], [-0.0, 0.0]]
+
+
+@pytest.mark.parametrize("name", ["list_contains"])
+def test_query_over_odd_lists(spark, tmp_path, name):
+    t = pa.table({"vec_id": pa.array([*range(len(LISTS) - 1), None], "int64"), "embedding": pa.array(LISTS, pa.list_(pa.float32())), "label": pa.array([1] * len(LISTS), "int32")})
+    (tmp_path / "embeddings.parquet").mkdir()
+    for k in range(2):
+        pq.write_table(t.slice(k * 6, 6), f"{tmp_path}/embeddings.parquet/part-{k}.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = duck.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert plain([r[c] for c in names] for r in df.collect()) == plain(want.fetchall())
