@@ -176,7 +176,7 @@ statement(
 statement(
     "list_elem_access",
     "embeddings",
-    "SELECT vec_id, p, cast(e AS double) AS e FROM embeddings LATERAL VIEW posexplode(slice(embedding, 1, 4)) x AS p, e",
+    "SELECT vec_id, p, cast(e AS double) AS e FROM embeddings LATERAL VIEW posexplode(array(get(embedding, 0), get(embedding, 1), get(embedding, 2), get(embedding, 3))) x AS p, e",
     "SELECT vec_id, CAST(p AS INTEGER) AS p, CAST(embedding[p + 1] AS DOUBLE) AS e FROM embeddings, range(4) r(p)",
 )
 statement(
