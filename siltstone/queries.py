@@ -191,7 +191,7 @@ statement(
 def _(spark, d):
     e = Engine(spark)
     e.create_table("embeddings", {"vec_id": "int8", "embedding": "float8[]"}, {"filename": quote_path(f"{d}/embeddings.parquet")})
-    return e.sql("SELECT vec_id, embedding[0] AS e1, embedding[1] AS e2 FROM embeddings")
+    return e.sql("SELECT vec_id, get(embedding, 0) AS e1, get(embedding, 1) AS e2 FROM embeddings")
 
 
 @query("map_to_json", "SELECT event_id, '{\"' || event_type || '\": ' || user_id || '}' AS m FROM events")
