@@ -54,7 +54,7 @@ def test_query_over_a_directory(spark, duck, tmp_path, name):
 LISTS = [None, [], [None], [1.5], [1.5, None], [None, 2.5], [1.0, 2.0, 1.0], [1.0, None, 3.0, None], [1.0, 2.0, 3.0, 4.0, 5.0], [math.nan], [math.nan, math.inf], [-0.0, 0.0]]
 
 
-@pytest.mark.parametrize("name", ["list_contains", "list_elem_access", "list_elem_cast"])
+@pytest.mark.parametrize("name", ["list_contains", "list_elem_access", "list_elem_cast", "list_elements"])
 def test_query_over_odd_lists(spark, tmp_path, name):
     t = pa.table({"vec_id": pa.array([*range(len(LISTS) - 1), None], "int64"), "embedding": pa.array(LISTS, pa.list_(pa.float32())), "label": pa.array([1] * len(LISTS), "int32")})
     (tmp_path / "embeddings.parquet").mkdir()
